@@ -22,7 +22,9 @@ from .common import materialize
 SPAN, GRAM = 13, 5
 #: Fingerprints of the benchmark up to which they are broadcast (under 0.5 kB each).
 BROADCAST_ROWS = 200_000
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Bits of the filter that spares most fingerprints of documents the join.
+SIEVE_BITS = 18
+GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters, but A-Z, that lower() may change; without one, lower() is the quick way.
 _CASED = r"[\p{Lu}\p{Lt}\p{Nl}\x{24B6}-\x{24CF}&&[^A-Z]]"
@@ -32,7 +34,7 @@ def words(text):
     """Words of a text after lower-casing A-Z; none for null."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     low = F.when(text.rlike(_CASED), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
-    return F.regexp_extract_all(low, F.lit(WORDS), F.lit(0))
+    return F.array_remove(F.split(low, GAPS, -1), "")
 
 
 def _grams(hashes: str, k: int) -> str:
@@ -54,42 +56,59 @@ def _chosen(grams: str, packed: str, w: int) -> str:
     return f"if(size({packed}) < {w}, array(), transform(array_distinct({windows}), m -> cast(2147483647L - (m & 4294967295L) as int)))"
 
 
-def _fingerprinted(df: DataFrame, k: int, w: int, reach: int, sentinel: bool) -> DataFrame:
-    """A row for each fingerprint: ``fp, at, pre, core, post``; with ``sentinel`` also one with null ``at`` for each row."""
+SHAPE = "array<struct<fp:bigint,at:int,pre:int,near:array<string>>>"
+
+
+def _fingerprinted(df: DataFrame, k: int, w: int, reach: int, sentinel: bool, sieve: str | None = None) -> DataFrame:
+    """A row for each fingerprint: ``fp``, ``at``, and the words around it, ``near``, of which ``pre`` stand before.
+
+    With ``sentinel`` also a row with null ``at`` for each row of ``df``. Of
+    the fingerprints, those go on that the sieve lets through.
+    """
     base = df.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).withColumn("_g", F.expr(_grams("_h", k)))
     if w > 1:
         base = base.withColumn("_p", F.expr(_packed("_g")))
-    base = base.withColumn("_at", F.expr(_chosen("_g", "_p", w)))
-    part = f"""transform(_at, p -> named_struct('fp', _g[p], 'at', p,
-        'pre', reverse(slice(_w, greatest(p - {reach - 1}, 1), least(p, {reach}))),
-        'core', slice(_w, p + 1, {k}),
-        'post', slice(_w, p + {k + 1}, {reach})))"""
-    if reach == 0:
-        part = f"transform(_at, p -> named_struct('fp', _g[p], 'at', p, 'pre', cast(array() as array<string>), 'core', slice(_w, p + 1, {k}), 'post', cast(array() as array<string>)))"
-    shape = "array<struct<fp:bigint,at:int,pre:array<string>,core:array<string>,post:array<string>>>"
-    rows = f"cast({part} as {shape})"
+    at = _chosen("_g", "_p", w)
+    base = base.withColumn("_at", F.expr(f"filter({at}, p -> {sieve})" if sieve else at))
+    rows = f"cast(transform(_at, p -> named_struct('fp', _g[p], 'at', p, 'pre', least(p, {reach}), 'near', slice(_w, greatest(p - {reach}, 0) + 1, least(p, {reach}) + {k + reach}))) as {SHAPE})"
     if sentinel:
-        rows = f"concat(cast(array(named_struct('fp', cast(null as bigint), 'at', cast(null as int), 'pre', cast(null as array<string>), 'core', cast(null as array<string>), 'post', cast(null as array<string>))) as {shape}), {rows})"
+        rows = f"concat(cast(array(named_struct('fp', null, 'at', null, 'pre', null, 'near', null)) as {SHAPE}), {rows})"
     keep = [c for c in df.columns if c != "_w"]
     return base.select(*keep, F.explode(F.expr(rows)).alias("_f")).select(*keep, "_f.*")
 
 
+def _sieve(prints: DataFrame) -> str:
+    """A test on ``_g[p]`` that all fingerprints of the items pass: a Bloom filter of 2 ** SIEVE_BITS bits.
+
+    It is a literal of at most 2 ** SIEVE_BITS / 64 numbers, whatever the benchmark's size.
+    """
+    words = (1 << SIEVE_BITS) // 64
+    got = prints.select(F.expr(f"cast(shiftrightunsigned(fp, 6) & {words - 1} as int)").alias("w"), F.expr("shiftleft(1L, cast(fp & 63 as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).collect()
+    bits = [0] * words
+    for r in got:
+        bits[r.w] = r.m
+    return f"shiftright(from_json('{bits}', 'array<bigint>')[cast(shiftrightunsigned(_g[p], 6) & {words - 1} as int)], cast(_g[p] & 63 as int)) & 1L = 1L"
+
+
 def _common(a: str, b: str) -> str:
     """Length of the common start of two arrays of words."""
     at = f"array_position(zip_with({a}, {b}, (x, y) -> x <=> y), false)"
-    return f"if({at} = 0, size({a}), {at} - 1)"
+    return f"if({at} = 0, size({a}), cast({at} as int) - 1)"
 
 
 def _spans(docs: DataFrame, items: DataFrame, k: int, w: int, sentinel: bool) -> DataFrame:
     """Rows of ``docs`` with ``at, _start, _end, _items`` of their shared spans, and the sentinels."""
     reach = SPAN - k if w > 1 else 0
-    prints = _fingerprinted(items, k, w, reach, False)
-    prints = prints.groupBy("fp", "pre", "core", "post").agg(F.collect_set(F.struct("item_id", F.col("_need").alias("need"))).alias("of"))
-    prints = materialize(prints.select("fp", F.col("pre").alias("i_pre"), F.col("core").alias("i_core"), F.col("post").alias("i_post"), "of", F.array_min("of.need").alias("need")), "winnow-items")
+    prints = _fingerprinted(items, k, w, reach, False).groupBy("fp", "pre", "near").agg(F.collect_set(F.struct("item_id", F.col("_need").alias("need"))).alias("of"))
+    core = lambda near, pre: f"slice({near}, {pre} + 1, {k})"
+    before = lambda near, pre: f"reverse(slice({near}, 1, {pre}))"
+    after = lambda near, pre: f"slice({near}, {pre} + {k + 1}, {reach})"
+    prints = prints.select("fp", F.expr(before("near", "pre")).alias("i_pre"), F.expr(core("near", "pre")).alias("i_core"), F.expr(after("near", "pre")).alias("i_post"), "of", F.array_min("of.need").alias("need"))
+    prints = materialize(prints, "winnow-items")
     small = prints.count() <= BROADCAST_ROWS
-    left, right = _common("pre", "i_pre"), _common("post", "i_post")
-    near = F.expr(f"core = i_core and {left} + {k} + {right} >= need")
-    d, cond = _fingerprinted(docs, k, w, reach, sentinel and small), None
+    left, right = _common(before("near", "pre"), "i_pre"), _common(after("near", "pre"), "i_post")
+    near = F.expr(f"{core('near', 'pre')} = i_core and {left} + {k} + {right} >= need")
+    d = _fingerprinted(docs, k, w, reach, sentinel and small, _sieve(prints))
     i = prints.withColumnRenamed("fp", "i_fp")
     cond = (F.col("fp") == F.col("i_fp")) & near
     if small:  # a checked size
