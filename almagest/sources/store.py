@@ -18,7 +18,7 @@ def read_pages(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """
     pages = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("page_path"))
     rows = pages.select("page_path", F.posexplode(F.from_json("value", "array<variant>")).alias("ordinal", "v"))
-    cells = [F.coalesce(F.expr(f"try_variant_get(v, '$.{f}', 'string')"), F.to_json(F.expr(f"try_variant_get(v, '$.{f}', 'variant')"))).alias(f) for f in fields]
+    cells = [F.coalesce(F.expr(f"try_variant_get(v, '$.{f}', 'string')"), F.nullif(F.to_json(F.expr(f"try_variant_get(v, '$.{f}', 'variant')")), F.lit("null"))).alias(f) for f in fields]
     return rows.select(*cells, "page_path", F.col("ordinal").cast("long").alias("row_ordinal"), F.to_json("v").alias("payload_json"))
 
 
