@@ -7,9 +7,10 @@ piece that starts here (from one Aho-Corasick pass), takes the next shorter one
 while the pair with the piece before fails, and goes back a piece when nothing
 fits, remembering positions that cannot be completed in a bit field.
 
-No piece holds a space mark after another character, and none holds a line
-feed, so the text is cut there and frequent chunks are kept in a bounded cache.
-A vocabulary for which that does not hold is encoded uncut.
+Two characters that stand side by side in no piece are never merged, so a text
+may be cut between them. The cuts are taken from the vocabulary: before a space
+mark, around line feeds, and between other characters and the punctuation that
+no piece joins to them. Chunks are kept in a bounded cache of two generations.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 100_000, 400_000, 64
+CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 400_000, 64
 
 
 def load_model(path: str) -> dict:
@@ -58,17 +60,55 @@ class PieceCoder:
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
         self.known = {p for p in self.ids if len(p) == 1}
-        inner = any(MARK in p.lstrip(MARK) for p in self.ids)
-        feed = any("\n" in p for p in self.ids)
-        self.chunks = re.compile(rf"(?s).+" if inner else rf"{MARK}+[^{MARK}]*|[^{MARK}]+" if feed else rf"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+").findall
+        self.surface = [p.replace(MARK, " ") if k == NORMAL else None for p, _, k in pieces]
+        self.chunks, self.parts = self._cuts()
         self.search = ahocorasick.Automaton()
         whole = {p for p in self.ids if self.merge(p) == [p]}
         for p in whole:
             self.search.add_word(p, len(p))
         self.search.make_automaton()
+        self.span = max(map(len, whole), default=1)
+        self.best: dict[str, str] = {}  # of each beginning of a piece, the longest piece it holds at its start
+        for p in sorted(whole, key=len):
+            self.best[p] = p
+        for p in sorted(whole, key=len):
+            for k in range(1, len(p)):
+                if p[:k] not in self.best:
+                    self.best[p[:k]] = self.best.get(p[: k - 1], p[:k])
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in whole), None) for p in whole}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.young: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
+        self.words: dict[str, tuple[str, str]] = {}
+        self.old_words: dict[str, tuple[str, str]] = {}
+
+    def _cuts(self):
+        """Functions that cut a normal text, and a chunk further, where no piece can span."""
+        if any(MARK in p.lstrip(MARK) for p in self.ids):
+            self.apart, self.by_word = set(), False
+            return (lambda s: [s] if s else []), None
+        beside: dict[str, set[str]] = {}
+        for p in self.ids:
+            for x, y in zip(p, p[1:], strict=False):
+                if MARK not in (x, y):
+                    beside.setdefault(x, set()).add(y)
+                    beside.setdefault(y, set()).add(x)
+        apart, stuck = {c for c in map(chr, range(33, 127)) if not c.isalnum()}, set()
+        while True:  # with the other signs that pieces join to punctuation; signs joined to letters are out
+            near = set().union(*(beside.get(c, set()) for c in apart)) - apart
+            if not near:
+                break
+            stuck |= {c for c in near if c in stuck or c.isalpha() or c.isdecimal()}
+            out = {c for c in apart if beside.get(c, set()) & stuck}
+            stuck |= out
+            apart = (apart | near) - stuck
+        p = "".join(map(re.escape, sorted(apart)))
+        feed, n = ("\\n|", "\\n") if "\n" not in beside and MARK + "\n" not in self.ids else ("", "")
+        self.apart = apart | set("\n" if n else "")
+        self.by_word = bool(n) and self.prefix
+        marks = rf"{MARK}+[{p}]+|[{p}]+|" if p else ""
+        coarse = re.compile(rf"{feed}{MARK}+[^{MARK}{n}]*|[^{MARK}{n}]+").findall
+        return coarse, re.compile(rf"{marks}{feed}{MARK}*[^{MARK}{p}{n}]+|{MARK}+").findall if p else None
 
     def merge(self, s: str) -> list[str]:
         """Merge a short string from its characters: best score, then leftmost, first."""
@@ -92,36 +132,56 @@ class PieceCoder:
             got = self.pairs[a, b] = self.merge(a + b) == [a, b]
         return got
 
+    def _longest(self, s: str, pos: int) -> str:
+        """The longest piece that starts at a position, by the automaton's trie."""
+        rest = s[pos : pos + self.span]
+        return self.best[rest[: self.search.longest_prefix(rest)]]
+
     def _walk(self, s: str) -> list[str]:
         """The pieces of a stretch of known characters."""
-        n = len(s)
-        longest = [1] * n
-        for end, size in self.search.iter(s):
-            start = end - size + 1
-            if size > longest[start]:
-                longest[start] = size
-        failed = bytearray(n // 8 + 1)
-        out: list[str] = []
-        pos, piece = 0, s[: longest[0]]
+        n, out, pos, last = len(s), [], 0, ""
+        failed: bytearray | None = None  # bits of positions that cannot be completed
+        pairs, fits, longest = self.pairs, self.fits, self._longest
+        for end, size in self.search.iter_long(s):  # the longest matches one after another, while they fit
+            piece = s[pos : pos + size]
+            ok = pairs.get((last, piece)) if last else True
+            if ok is None:
+                ok = fits(last, piece)
+            if not ok:
+                break
+            out.append(piece)
+            pos, last = end + 1, piece
+        else:
+            return out
         while True:
             end = pos + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], piece)):
-                out.append(piece)
-                pos = end
-                if pos == n:
-                    return out
-                piece = s[pos : pos + longest[pos]]
-                continue
+            if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                ok = pairs.get((last, piece)) if last else True
+                if ok is None:
+                    ok = fits(last, piece)
+                if ok:
+                    out.append(piece)
+                    if end == n:
+                        return out
+                    pos, last = end, piece
+                    piece = longest(s, pos)
+                    continue
             piece = self.shorter[piece]
             while piece is None:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[pos >> 3] |= 1 << (pos & 7)
                 if not out:
                     raise ValueError("no encoding")
-                last = out.pop()
-                pos -= len(last)
-                piece = self.shorter[last]
+                piece = out.pop()
+                pos -= len(piece)
+                last = out[-1] if out else ""
+                piece = self.shorter[piece]
 
     def _chunk(self, s: str) -> list[int]:
+        if self.known.issuperset(s):
+            ids = self.ids
+            return [ids[p] for p in self._walk(s)]
         out: list[int] = []
         i, n, known = 0, len(s), self.known
         while i < n:
@@ -139,17 +199,52 @@ class PieceCoder:
             i = j
         return out
 
-    def _coded(self, chunk: str) -> tuple[int, str, str]:
-        got = self.cache.get(chunk)
+    def _coded(self, chunk: str, keep: bool = True) -> tuple[str, str]:
+        """A chunk's ids, joined by commas, and their surface; kept for the next time."""
+        got = self.old.get(chunk)
         if got is None:
-            ids = self._chunk(chunk)
-            got = (len(ids), ",".join(map(str, ids)), self._text(ids))
-            if len(chunk) <= CACHED_CHARS:
-                if len(self.cache) >= CACHE_CHUNKS:
-                    self.cache.clear()
-                self.cache[chunk] = got
+            parts = () if self.apart.isdisjoint(chunk) else self.parts(chunk)
+            if len(parts) > 1:
+                coded = [self.young.get(p) or self._coded(p) for p in parts]
+                got = (",".join([c[0] for c in coded]), "".join([c[1] for c in coded]))
+            else:
+                ids = self._chunk(chunk)
+                got = (",".join(map(str, ids)), self._text(ids))
+        if keep and len(chunk) <= CACHED_CHARS:
+            if len(self.young) >= CACHE_CHUNKS:
+                self.old, self.young = self.young, {}
+            self.young[chunk] = got
         return got
 
+    def _word(self, word: str) -> tuple[str, str]:
+        """The code of a word with a space mark before it."""
+        got = self.old_words.get(word) or self._coded(MARK + word, keep=False)
+        if len(word) <= CACHED_CHARS:
+            if len(self.words) >= CACHE_CHUNKS:
+                self.old_words, self.words = self.words, {}
+            self.words[word] = got
+        return got
+
+    def encode_batch(self, texts: pa.StringArray) -> list[tuple[int, bytes, bytes]]:
+        """``encode_row`` of many texts: Arrow finds the distinct words and joins their codes."""
+        texts = pc.fill_null(texts, "")
+        plain = pc.and_(pc.and_not(pc.greater(pc.binary_length(texts), 0), pc.match_substring(texts, "  ")), pc.invert(pc.or_(pc.match_substring(texts, MARK), pc.starts_with(texts, " "))))
+        out: list = [None] * len(texts)
+        if self.by_word and pc.any(plain).as_py():
+            lists = pc.split_pattern(texts.filter(plain), " ")
+            coded = lists.flatten().dictionary_encode()
+            words, new = self.words, self._word
+            codes = [words.get(w) or new(w) for w in coded.dictionary.to_pylist()]
+            ids, back = (pc.binary_join(pa.ListArray.from_arrays(lists.offsets, pa.array([c[k] for c in codes], pa.string()).take(coded.indices)), sep) for k, sep in ((0, ","), (1, "")))
+            found = zip(pc.add(pc.count_substring(ids, ","), 1).to_pylist(), ids.cast(pa.binary()).to_pylist(), back.cast(pa.binary()).to_pylist(), strict=True)
+            for i, (n, a, b) in zip(pc.indices_nonzero(plain).to_pylist(), found, strict=True):
+                out[i] = (n, a, b[1:])  # without the space of the dummy prefix
+        for i, done in enumerate(out):
+            if done is None:
+                n, a, b = self.encode_row(texts[i].as_py())
+                out[i] = (n, a.encode(), b.encode())
+        return out
+
     def _normal(self, text: str) -> str:
         if not text:
             return ""
@@ -157,17 +252,24 @@ class PieceCoder:
 
     def encode_row(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids as text joined by commas, and the decoded text."""
-        coded = [self._coded(c) for c in self.chunks(self._normal(text))]
-        back = "".join([c[2] for c in coded])
+        young, new = self.young, self._coded
+        got = list(map(young.get, chunks := self.chunks(self._normal(text))))
+        coded = got if None not in got else [g or new(c) for g, c in zip(got, chunks, strict=True)]
+        ids = ",".join([c[0] for c in coded])
+        back = "".join([c[1] for c in coded])
         if self.prefix and back.startswith(" "):
             back = back[1:]
-        return sum([c[0] for c in coded]), ",".join([c[1] for c in coded]), back
+        return ids.count(",") + 1 if ids else 0, ids, back
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for c in self.chunks(self._normal(text)) for i in self._coded(c)[1].split(",")]
+        ids = self.encode_row(text)[1]
+        return [int(i) for i in ids.split(",")] if ids else []
 
     def _text(self, ids: list[int]) -> str:
         """Surface of ids, the space of the dummy prefix kept."""
+        parts = [self.surface[i] for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out, held = [], bytearray()
         for i in ids:
             b = self.byte_of.get(i)
@@ -241,16 +343,17 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     model = _Shared(docs.sparkSession, load_model(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
         coder, sha = _coder(model), hashlib.sha256
         for b in batches:
             n, a, d, all_ids = [], [], [], []
-            for t in b.column(1):
-                count, text, back = coder.encode_row(t.as_py() or "")
+            for count, text, back in coder.encode_batch(b.column(1)):
                 n.append(count)
-                a.append(sha(text.encode()).hexdigest())
-                d.append(sha(back.encode()).hexdigest())
+                a.append(sha(text).hexdigest())
+                d.append(sha(back).hexdigest())
                 if ids:
-                    all_ids.append([int(x) for x in text.split(",")] if text else [])
+                    all_ids.append(np.fromstring(text, sep=",", dtype=np.int32) if text else np.zeros(0, np.int32))
             cols, names = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
                 cols.append(pa.array(all_ids, pa.list_(pa.int32())))
@@ -259,4 +362,4 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
