@@ -55,9 +55,25 @@ def discard(df: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def crc_mod(col, n: int):
     """crc32 of the id as text, modulo ``n``; null for a null id."""
     return F.crc32(col.cast("string").cast("binary")) % n
+
+
+#: Rows of an Arrow batch that carries whole texts to Python.
+BATCH_ROWS = "500"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small, unless the session asks for smaller ones.
+
+    Spark's 10,000 rows a batch are 34 MB of ordinary documents, several times
+    over in the JVM and in Python; an executor has a few hundred MB to spare.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= int(BATCH_ROWS):
+        spark.conf.set(key, BATCH_ROWS)
