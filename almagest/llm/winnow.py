@@ -98,7 +98,7 @@ def _common(a: str, b: str) -> str:
 
 def _spans(docs: DataFrame, items: DataFrame, k: int, w: int, sentinel: bool) -> DataFrame:
     """Rows of ``docs`` with ``at, _start, _end, _items`` of their shared spans, and the sentinels."""
-    reach = SPAN - k if w > 1 else 0
+    reach = SPAN - k if k == GRAM else 0
     prints = _fingerprinted(items, k, w, reach, False).groupBy("fp", "pre", "near").agg(F.collect_set(F.struct("item_id", F.col("_need").alias("need"))).alias("of"))
     core = lambda near, pre: f"slice({near}, {pre} + 1, {k})"
     before = lambda near, pre: f"reverse(slice({near}, 1, {pre}))"
