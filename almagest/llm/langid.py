@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialize
+from .common import crc_mod
 
 #: Most training rows, chosen by a hash of their id within each language.
-TRAIN_ROWS_PER_LANG, LANGS = 800, 400
+TRAIN_ROWS_PER_LANG, LANGS = 600, 400
 BITS, CENTROIDS, ROUNDS = 13, 4, 12
 DIMS = 1 << BITS
 #: Share of training texts of a language that may be further away.
@@ -58,15 +58,16 @@ def vector(text: str | None, idf):
 def _training(docs: DataFrame, per_lang: int) -> DataFrame:
     """``lang, text`` of at most ``per_lang`` rows of each of at most ``LANGS`` languages.
 
-    The row numbers are over ids only, and Spark keeps the first ``per_lang``
-    of a language in each task before it shuffles.
+    A hash of the id first thins a language with many rows to about one and a
+    half times the bound, so the row numbers are over few ids at any size.
     """
     from pyspark.sql import Window
 
     ok = docs.where(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2)).select("doc_id", F.col("lang").cast("string").alias("lang"))
-    langs = ok.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).select("lang")
+    langs = ok.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS)
+    thin = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) < F.lit(1_500_000.0 * per_lang) / F.col("n")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ok.join(F.broadcast(langs), "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang").distinct()
+    ids = ok.join(F.broadcast(langs), "lang").where(thin).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang").distinct()
     return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])  # at most per_lang * LANGS ids
 
 
@@ -112,16 +113,16 @@ def train(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG, k: int = CENTROI
             got = [(a.as_py(), n) for a, t in zip(b.column(0), b.column(1), strict=True) if (n := counts(t.as_py() or "")) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.string()), pa.array([np.flatnonzero(n).astype(np.int16) for _, n in got], pa.list_(pa.int16())), pa.array([n[n > 0].astype(np.int32) for _, n in got], pa.list_(pa.int32()))], names=["lang", "at", "n"])
 
-    rows = materialize(_training(docs, per_lang), "langid-train")
-    got = rows.select("lang", "text").mapInArrow(run, "lang string, at array<short>, n array<int>").toArrow()
+    got = _training(docs, per_lang).select("lang", "text").mapInArrow(run, "lang string, at array<short>, n array<int>").toArrow()
     names = got.column("lang").to_pylist()
     m = np.zeros((len(names), DIMS), dtype=np.float32)
     for i, (at, n) in enumerate(zip(got.column("at"), got.column("n"), strict=True)):
         m[i, np.array(at.as_py(), dtype=np.int64)] = n.as_py()
-    idf = np.log((1 + len(m)) / (1 + (m > 0).sum(axis=0))) + 1
-    v = np.log1p(m) * idf
-    v = (v / np.maximum(np.sqrt((v**2).sum(axis=1, keepdims=True)), 1e-12)).astype(np.float32)
-    model = {"idf": idf.astype(np.float32), "langs": [], "centroids": np.zeros((0, DIMS), dtype=np.float32), "of": np.zeros(0, dtype=np.int64), "floor": {}}
+    idf = (np.log((1 + len(m)) / (1 + np.count_nonzero(m, axis=0))) + 1).astype(np.float32)
+    v = np.log1p(m, out=m)  # in place: the driver holds one matrix
+    v *= idf
+    v /= np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)[:, None]
+    model = {"idf": idf, "langs": [], "centroids": np.zeros((0, DIMS), dtype=np.float32), "of": np.zeros(0, dtype=np.int64), "floor": {}}
     kinds, langs = np.array(names, dtype=object), sorted(set(names))
     ok = _clean(v, kinds, langs) if langs else np.zeros(0, dtype=bool)
     for lang in langs:
