@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 400_000, 64
+CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 120_000, 400_000, 64
 
 
 def load_model(path: str) -> dict:
@@ -220,7 +220,7 @@ class PieceCoder:
         """The code of a word with a space mark before it."""
         got = self.old_words.get(word) or self._coded(MARK + word, keep=False)
         if len(word) <= CACHED_CHARS:
-            if len(self.words) >= CACHE_CHUNKS:
+            if len(self.words) >= CACHE_WORDS:
                 self.old_words, self.words = self.words, {}
             self.words[word] = got
         return got
@@ -311,6 +311,21 @@ def _utf8(data: bytes) -> str:
         return "".join(out)
 
 
+#: Rows and bytes up to which Arrow batches are coded together: the more rows, the fewer distinct words a row.
+TOGETHER_ROWS, TOGETHER_BYTES = 2000, 8 << 20
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= TOGETHER_ROWS or sum(x.nbytes for x in held) >= TOGETHER_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 _CODERS: dict[int, PieceCoder] = {}
 
 
@@ -346,7 +361,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         import numpy as np
 
         coder, sha = _coder(model), hashlib.sha256
-        for b in batches:
+        for b in _together(batches):
             n, a, d, all_ids = [], [], [], []
             for count, text, back in coder.encode_batch(b.column(1)):
                 n.append(count)
