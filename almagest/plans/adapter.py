@@ -13,12 +13,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table out if it is read in fewer splits than there are cores.
+
+    A file of one row group is one task, however many cores wait. Tables of
+    any size worth a cluster have more splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An observation for each order line; sizes decide which joins are broadcast."""
     line, orders, cust, supp, nation, region = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation", "region"))
     money = [F.col(c).cast(C.MONEY) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     ids = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     payload = F.sha2(F.concat_ws(C.UNIT, *[F.col(c).cast("string") for c in ids], *[m.cast("string") for m in money], "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").cast("string")), 256)
+    line = spread(line.select(*ids, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
     rows = line.select(*ids, "l_linestatus", F.col("l_shipdate").cast("date").alias("end_date"), F.col("l_extendedprice").cast(C.MONEY).alias("value"), payload.alias("payload_sha256"))
     rows = rows.join(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").alias("signing_date")), rows.l_orderkey == orders.o_orderkey)
     place = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", F.col("n_name").alias("municipality"), F.col("r_name").alias("department"))
