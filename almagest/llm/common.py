@@ -77,3 +77,9 @@ def text_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= int(BATCH_ROWS):
         spark.conf.set(key, BATCH_ROWS)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table out if it is read in fewer splits than there are cores; larger ones are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

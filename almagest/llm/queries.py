@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from . import chat, exact_dedup, html_extract, langid, line_dedup, pieces, simhash, toxicity, warc, winnow
-from .common import table
+from .common import spread, table
 
 #: Where the model file is; a parameter of the engine, not part of it.
 PIECE_MODEL = os.environ.get("ALMAGEST_PIECE_MODEL", "piece_bpe_32k.model")
@@ -26,41 +26,41 @@ def op1_chat_format(spark, sf_dir):
 
 
 def op2_sentencepiece(spark, sf_dir):
-    return pieces.encode_texts(table(spark, sf_dir, "documents"), piece_model())
+    return pieces.encode_texts(spread(table(spark, sf_dir, "documents")), piece_model())
 
 
 def op3_toxicity(spark, sf_dir):
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op4_decontamination(spark, sf_dir):
-    return winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return winnow.decontaminate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op5_simhash(spark, sf_dir):
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 def op6_language_id(spark, sf_dir):
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify(spread(table(spark, sf_dir, "documents")))
 
 
 def op7_line_dedup(spark, sf_dir):
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(spread(table(spark, sf_dir, "documents")))
 
 
 def op8_warc_revisits(spark, sf_dir):
-    out = warc.resolve_revisits(warc.page_captures(table(spark, sf_dir, "pages")))
+    out = warc.resolve_revisits(warc.page_captures(spread(table(spark, sf_dir, "pages"))))
     header = lambda n: F.element_at("headers", n)
     return out.select("record_id", "canonical_url", "state", "source_id", header("etag").alias("etag"), header("content-type").alias("content_type"), header("date").alias("header_date"), F.sha2("payload", 256).alias("payload_sha256"))
 
 
 def op9_html_extraction(spark, sf_dir):
-    return html_extract.extract(table(spark, sf_dir, "pages"))
+    return html_extract.extract(spread(table(spark, sf_dir, "pages")))
 
 
 def op10_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_sentencepiece, op3_toxicity, op4_decontamination, op5_simhash, op6_language_id, op7_line_dedup, op8_warc_revisits, op9_html_extraction, op10_exact_dedup)}
