@@ -32,7 +32,9 @@ CLOSED_BY = {"p": BLOCK - {"br", "body", "html"}, "li": {"li"}, "dt": {"dt", "dd
 COLUMNS = ["words", "link_density", "before_words", "before_links", "after_words", "after_links", "content_depth", "furniture_depth", "furniture_names", "heading"]
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_TELLING = {"class", "id", "role", "hidden", "style"}
+_MAY_TELL = re.compile("|".join(sorted(_TELLING)), re.I).search
 _NAME = re.compile(r"[a-z]+(?:-[a-z]+)*")
 _SPLIT = re.compile(r"[a-z]+")
 
@@ -49,8 +51,11 @@ class _Block:
 def _names(attrs: str) -> tuple[int, int, int]:
     """Furniture and content words in an element's attributes; whether it is hidden."""
     bad = good = hidden = 0
-    for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
+    for key, value in _ATTR.findall(attrs) if _MAY_TELL(attrs) else ():
+        key = key.lower()
+        if key not in _TELLING:  # not aria-hidden, nor a word inside another attribute's value
+            continue
+        value = html.unescape(value.strip("\"'")).lower()
         if key == "hidden" or key == "style" and re.search(r"display\s*:\s*none", value):
             hidden = 1
         elif key != "style":
