@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SPAN, GRAM = 13, 5
-#: Fingerprints of the benchmark up to which they are broadcast (under 0.5 kB each).
-BROADCAST_ROWS = 200_000
+#: Fingerprints of the benchmark up to which they are broadcast, and the bytes of their words and item ids.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 100 << 20
 #: Bits of the filter that spares most fingerprints of documents the join.
 SIEVE_BITS = 18
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -105,7 +105,9 @@ def _spans(docs: DataFrame, items: DataFrame, k: int, w: int, sentinel: bool) ->
     after = lambda near, pre: f"slice({near}, {pre} + {k + 1}, {reach})"
     prints = prints.select("fp", F.expr(before("near", "pre")).alias("i_pre"), F.expr(core("near", "pre")).alias("i_core"), F.expr(after("near", "pre")).alias("i_post"), "of", F.array_min("of.need").alias("need"))
     prints = materialize(prints, "winnow-items")
-    small = prints.count() <= BROADCAST_ROWS
+    weight = "aggregate(concat(i_pre, i_core, i_post), 0L, (a, x) -> a + octet_length(x) + 24) + aggregate(of, 0L, (a, o) -> a + octet_length(o.item_id) + 40)"
+    rows, size = prints.agg(F.count("*"), F.coalesce(F.sum(F.expr(weight)), F.lit(0))).first()
+    small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
     left, right = _common(before("near", "pre"), "i_pre"), _common(after("near", "pre"), "i_post")
     near = F.expr(f"{core('near', 'pre')} = i_core and {left} + {k} + {right} >= need")
     d = _fingerprinted(docs, k, w, reach, sentinel and small, _sieve(prints))
