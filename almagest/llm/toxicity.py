@@ -79,10 +79,10 @@ def features(text: str, lex: dict[str, set[str]]) -> list[float]:
 
 
 def _training(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """``doc_id, text, y`` of at most ``bound`` labelled rows that are not held out."""
+    """``doc_id, text, y`` of at most ``bound`` labelled ids that are not held out; of a repeated id the least text."""
     y = labels.where(F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(y), "doc_id")  # bounded
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # bounded
 
 
 def _lexicon(train: DataFrame) -> dict[str, set[str]]:
@@ -130,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> dict:
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(3))
     lex = _lexicon(rows.where(fold > 0))
     got = _featured(rows.select(F.struct("y", (fold > 0).alias("fit")).alias("k"), "text"), lex, "struct<y:int,fit:boolean>").collect()
+    got.sort(key=lambda r: (r.x, r.k))  # the same model, whatever order the parts came in
     x = np.array([r.x for r in got], dtype=float).reshape(len(got), len(FEATURES))
     y = np.array([float(r.k.y > 0) for r in got])
     fit = np.array([r.k.fit for r in got], dtype=bool)
