@@ -56,7 +56,7 @@ def vector(text: str | None, idf):
 
 
 def _training(docs: DataFrame, per_lang: int) -> DataFrame:
-    """``lang, text`` of at most ``per_lang`` rows of each of at most ``LANGS`` languages.
+    """``lang, text`` of at most ``per_lang`` ids of each of at most ``LANGS`` languages; of a repeated id the least text.
 
     A hash of the id first thins a language with many rows to about one and a
     half times the bound, so the row numbers are over few ids at any size.
@@ -68,7 +68,7 @@ def _training(docs: DataFrame, per_lang: int) -> DataFrame:
     thin = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) < F.lit(1_500_000.0 * per_lang) / F.col("n")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = ok.join(F.broadcast(langs), "lang").where(thin).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang").distinct()
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])  # at most per_lang * LANGS ids
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # at most per_lang * LANGS ids
 
 
 def _unit(c):
