@@ -174,7 +174,7 @@ def test_exact_repeated_rows_keep_one(spark):
 # -- decontamination
 
 
-def test_winnowing_equals_brute_force(spark):
+def test_winnowing_equals_brute_force(spark, monkeypatch):
     rng = random.Random(2)
     vocab = ["a", "b", "c", "é1", "d"]
     items = [" ".join(rng.choice(vocab) for _ in range(n)) for n in (1, 2, 4, 5, 7, 12, 13, 14, 30, 0)] + [None, "z " * 20]
@@ -196,6 +196,10 @@ def test_winnowing_equals_brute_force(spark):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
     assert winnow.decontaminate(docs(spark, ["a b"]), bench.limit(0)).first().n_hit == 0
+    # a benchmark too large to broadcast gives the same rows
+    monkeypatch.setattr(winnow, "BROADCAST_BYTES", 0)
+    again = {r.doc_id: r for r in winnow.decontaminate(docs(spark, texts, True), bench).collect()}
+    assert again == got
 
 
 # -- toxicity, languages
@@ -229,6 +233,13 @@ def test_language_held_out(spark):
     assert langid.identify(docs(spark, [])).count() == 0
 
 
+def test_repeated_ids_are_learned_once(spark):
+    rows = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(3, "other")], "doc_id bigint, text string").withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0)], "doc_id bigint, toxic int")
+    assert toxicity._training(rows, labels, 10).where("doc_id = 1").collect() == [(1, 1, "text 0")]
+    assert langid._training(rows, 10).where("doc_id = 1").count() <= 1
+
+
 # -- lines, chats, captures, pages
 
 
@@ -273,6 +284,11 @@ def test_html():
     assert html_extract.main_text(None) == "" and html_extract.main_text("<p") == ""
 
 
+def test_html_attributes():
+    page = '<article><p>One <a title="hidden gem" href="x">two</a> <span aria-hidden="true">three</span> <i data-id=nav>four</i> <b hidden>no</b></p></article>'
+    assert html_extract.main_text(page) == "One two three four"
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (2, None, "<article><p>é x</p></article>")], "page_id bigint, url string, html string")
     got = {r.page_id: r for r in html_extract.extract(df).collect()}
