@@ -79,6 +79,14 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of ``df`` has, in any case."""
+    taken, end = {c.lower() for c in df.columns}, ""
+    while any(f"_al_{n}{end}" in taken for n in names):
+        end += "_"
+    return [f"_al_{n}{end}" for n in names]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a table out if it is read in fewer splits than there are cores; larger ones are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_names, materialize
 
 RATIO, MIN_PAGES = 0.1, 20
 #: Boilerplate lines of all hosts up to which the lists are broadcast (48 bytes each).
@@ -42,31 +42,32 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     return counts.where("line is not null").join(totals, "_al_host").where((F.col("total") >= min_pages) & (F.col("pages") > F.col("total") * ratio))
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with the text cut, all other columns as they are, and ``_al_lines``, ``_al_dropped``.
+def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, marks: tuple[str, ...] = ("_al_lines", "_al_dropped")) -> DataFrame:
+    """``docs`` with the text cut, all other columns as they are, and the columns ``marks``: lines and dropped lines.
 
     Null texts stay null; a page whose lines all go has an empty text. Rows
     that repeat an id are pages of their own. Other lines keep their order,
-    spaces and blank lines.
+    spaces and blank lines. A column of ``docs`` that has a name of ``marks``
+    gives way to the count; no other name clashes. Empty ``marks``: no counts.
     """
     found = materialize(boilerplate(docs, host_col, text_col, ratio, min_pages).select("_al_host", "line"), "boilerplate")
-    lists = found.groupBy("_al_host").agg(F.collect_set("line").alias("_al_cut"))
+    at, cut, salt, every, kept = free_names(docs, "host", "cut", "salt", "all", "kept")
+    lists = found.groupBy(F.col("_al_host").alias(at)).agg(F.collect_set("line").alias(cut))
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col).cast("string")), F.lit("n"))
-    rows = docs.withColumn("_al_host", host)
+    rows = docs.withColumn(at, host)
     if found.count() <= BROADCAST_LINES:
-        joined = rows.join(F.broadcast(lists), "_al_host", "left")
+        joined = rows.join(F.broadcast(lists), at, "left")
     else:
-        lists = lists.withColumn("_al_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("_al_salt", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int")).join(lists, ["_al_host", "_al_salt"], "left")
-    lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    cut = F.col("_al_cut")
-    kept = F.when(cut.isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains(cut, _key(F.trim(x)))))
-    out = joined.withColumn("_al_all", lines).withColumn("_al_kept", kept)
-    filled = F.coalesce(F.size("_al_all"), F.lit(0))
+        lists = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn(salt, F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int")).join(lists, [at, salt], "left")
+    lines, bad = F.split(F.col(text_col).cast("string"), "\n", -1), F.col(cut)
+    left = F.when(bad.isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains(bad, _key(F.trim(x)))))
+    out = joined.withColumn(every, lines).withColumn(kept, left)
+    filled, none = F.coalesce(F.size(every), F.lit(0)), F.col(every).isNull()
+    counts = [F.when(none, 0).otherwise(filled), F.when(none, 0).otherwise(filled - F.size(kept))]
     return out.select(
-        *[F.array_join("_al_kept", "\n").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("_al_all").isNull(), 0).otherwise(filled).alias("_al_lines"),
-        F.when(F.col("_al_all").isNull(), 0).otherwise(filled - F.size("_al_kept")).alias("_al_dropped"),
+        *[F.array_join(kept, "\n").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in marks],
+        *[c.alias(name) for c, name in zip(counts, marks, strict=False)],
     )
 
 

@@ -323,3 +323,32 @@ def test_pipeline_by_brute_force(spark, library):
     dirty = {r.doc_id for r in winnow.decontaminate(rows, spark.read.parquet(f"{d}/benchmark.parquet")).where("contaminated").collect()}  # tested above
     want = {i: library.encode(t) for i, t in left.items() if i not in dirty}
     assert {r.doc_id: r.ids for r in corpus_pipeline.run(spark, d).collect()} == want
+
+
+def test_pipeline_stages_on_rows_without_ids(spark):
+    """Groups and contaminated texts go under a null id as under any other; names of working columns may be taken."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    long = " ".join(f"word{i}" for i in range(300))
+    rows = [(7, long), (None, long), (10, long), (None, "only here, once " * 9), (None, "only here, once " * 9), (None, item), (3, item), (None, None), (4, "")]
+    df = spark.createDataFrame([(i, t, "en", None, None, 1, "x") for i, t in rows], DOCS + ", _al_lines int, _al_key string")
+    near = corpus_pipeline.drop_near_copies(spark, df, SF)
+    assert near.columns == df.columns
+    assert sorted([(r.doc_id or 0, (r.text or "")[:5]) for r in near.collect()]) == [(0, "only "), (0, "only "), (3, item[:5]), (4, ""), (7, "word0")]
+    clean = corpus_pipeline.drop_contaminated(spark, df, SF)
+    assert clean.columns == df.columns and clean.count() == 7 and item not in {r.text for r in clean.collect()}
+    cut = corpus_pipeline.cut_boilerplate(spark, df, SF)
+    assert cut.columns == df.columns and {(r._al_lines, r._al_key) for r in cut.collect()} == {(1, "x")}
+
+
+def test_pipeline_stages_on_empty_table(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, SF)
+        assert out.count() == 0 and (name == "sentencepiece" or out.columns == df.columns)
+
+
+def test_lines_keep_clashing_columns(spark):
+    df = docs(spark, ["a\nb"] * 30 + [None], extra=True)
+    out = line_dedup.drop_boilerplate(df)
+    assert out.columns == [*df.columns, "_al_lines", "_al_dropped"]
+    assert {(r.text, r._al_host, r._al_lines, r._al_dropped) for r in out.collect()} == {("", "z", 2, 2), (None, "z", 0, 0)}
