@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +83,42 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+_HELD: dict = {}
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system; an executor's workers share little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def held(key, make: Callable = lambda: None):
+    """What ``make`` gives, kept by a Python worker for its next tasks until an operator asks for another key.
+
+    Spark reuses workers, so without this each would hold the state of every operator that it ever ran.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def tidy(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives memory back when its task ends."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Names for working columns that no column of ``df`` has, in any case."""
     taken, end = {c.lower() for c in df.columns}, ""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, held, tidy
 
 #: Most training rows, chosen by a hash of their id within each language.
 TRAIN_ROWS_PER_LANG, LANGS = 600, 400
@@ -113,7 +113,7 @@ def train(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG, k: int = CENTROI
             got = [(a.as_py(), n) for a, t in zip(b.column(0), b.column(1), strict=True) if (n := counts(t.as_py() or "")) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.string()), pa.array([np.flatnonzero(n).astype(np.int16) for _, n in got], pa.list_(pa.int16())), pa.array([n[n > 0].astype(np.int32) for _, n in got], pa.list_(pa.int32()))], names=["lang", "at", "n"])
 
-    got = _training(docs, per_lang).select("lang", "text").mapInArrow(run, "lang string, at array<short>, n array<int>").toArrow()
+    got = _training(docs, per_lang).select("lang", "text").mapInArrow(tidy(run), "lang string, at array<short>, n array<int>").toArrow()
     names = got.column("lang").to_pylist()
     m = np.zeros((len(names), DIMS), dtype=np.float32)
     for i, (at, n) in enumerate(zip(got.column("at"), got.column("n"), strict=True)):
@@ -142,6 +142,7 @@ def classify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        held("langid")
         m = shared.value
         langs, n = m["langs"], len(m["langs"])
         for b in batches:
@@ -160,7 +161,7 @@ def classify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64()), pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.bool_())], names=["doc_id", "lang_pred", "score", "similarity", "rejected"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, similarity double, rejected boolean")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, lang_pred string, score double, similarity double, rejected boolean")
 
 
 def identify(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG) -> DataFrame:

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import held, tidy
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 120_000, 400_000, 64
@@ -326,14 +328,8 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-_CODERS: dict[int, PieceCoder] = {}
-
-
 def _coder(model) -> PieceCoder:
-    if model.id not in _CODERS:
-        _CODERS.clear()
-        _CODERS[model.id] = PieceCoder(model.value)
-    return _CODERS[model.id]
+    return held(("pieces", model.id), lambda: PieceCoder(model.value))
 
 
 class _Shared:
@@ -377,4 +373,4 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import crc_mod, materialize
+from .common import crc_mod, give_back, held, materialize, tidy
 
 #: Most labelled rows that training reads, chosen by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -102,7 +102,7 @@ def _lexicon(train: DataFrame) -> dict[str, set[str]]:
     out = {"words": set(), "stems": set(), "second": set(SECOND_PERSON.split())}
     if not yes or not no:
         return out
-    by = train.select("text", "y").mapInArrow(spread, "kind string, term string, no bigint, yes bigint").groupBy("kind", "term").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
+    by = train.select("text", "y").mapInArrow(tidy(spread), "kind string, term string, no bigint, yes bigint").groupBy("kind", "term").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
     lift = ((F.col("yes") + 0.2) / yes) / ((F.col("no") + 0.2) / no)
     for r in by.where((F.col("yes") >= 3) & (lift > 8)).orderBy(F.desc(F.col("yes") * F.log(lift)), "kind", "term").limit(LEXICON_WORDS).collect():
         out["words" if r.kind == "w" else "stems"].add(r.term)
@@ -111,11 +111,12 @@ def _lexicon(train: DataFrame) -> dict[str, set[str]]:
 
 def _featured(rows: DataFrame, lex: dict, first: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity")
         for b in batches:
             x = [features(t.as_py() or "", lex) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["k", "x"])
 
-    return rows.mapInArrow(run, f"k {first}, x array<double>")
+    return rows.mapInArrow(tidy(run), f"k {first}, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> dict:
@@ -147,6 +148,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        held("toxicity")
         m = shared.value
         for b in batches:
             x = np.array([features(t.as_py() or "", m["lex"]) for t in b.column(1)], dtype=float).reshape(len(b.column(1)), len(FEATURES))
@@ -154,7 +156,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> DataFrame:
@@ -176,8 +178,10 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFram
         import numpy as np
         import pandas as pd
 
+        held("toxicity")
         m = shared.value
         x = np.array([features(t or "", m["lex"]) for t in text], dtype=float).reshape(len(text), len(FEATURES))
+        give_back()
         return pd.Series(boosting.calibrated(m["knots"], boosting.raw_scores(m["trees"], x)))
 
     return docs.where(toxic(F.col("text").cast("string")) < threshold)
