@@ -314,7 +314,7 @@ def _utf8(data: bytes) -> str:
 
 
 #: Rows and bytes up to which Arrow batches are coded together: the more rows, the fewer distinct words a row.
-TOGETHER_ROWS, TOGETHER_BYTES = 2000, 8 << 20
+TOGETHER_ROWS, TOGETHER_BYTES = 2000, 4 << 20
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,6 +370,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                 cols.append(pa.array(all_ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+            pa.default_memory_pool().release_unused()  # the words of a batch take 100 MB for a moment
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
