@@ -57,16 +57,24 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     RESOLVED, NO_EARLIER_RESPONSE, NO_COMMON_VALIDATOR, VALIDATOR_MISMATCH; only
     RESOLVED rows take payload and headers. A revisit without URL or time has
     no earlier response; responses without them, and rows of other kinds, are
-    ignored. Record ids are unique; extra columns are ignored.
+    ignored. Every revisit gives one row, also if record ids are null or
+    repeat: rows are told apart by a number of their own. Of responses that
+    share id and time the largest by validators, then by a digest of headers
+    and payload, is taken. Extra columns are ignored.
     """
-    slim = records.select("record_id", canonical_url(F.col("url")).alias("curl"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "kind", "status", _validator("etag").alias("etag"), _validator("last-modified").alias("modified"))
-    full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("t").isNotNull() & F.col("curl").isNotNull()
-    slim = slim.where(full | (F.col("kind") == "revisit")).withColumn("day", F.floor(F.col("t") / 86_400_000_000))
-    ref = F.when(full, F.struct("t", "record_id", "etag", "modified"))
-    slim = materialize(slim.withColumn("ref", ref).drop("status"), "warc-slim")
+    t, curl = F.unix_micros(F.col("ts").cast("timestamp")), canonical_url(F.col("url"))
+    full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200) & t.isNotNull() & curl.isNotNull(), F.lit(False))
+    revisit = F.col("kind") == "revisit"
+    rows = records.where(full | revisit).select(
+        F.monotonically_increasing_id().alias("row"), "record_id", "url", "ts", curl.alias("curl"), t.alias("t"), F.floor(t / 86_400_000_000).alias("day"), full.alias("full"), _validator("etag").alias("etag"), _validator("last-modified").alias("modified"), "headers",
+        F.when(full, F.col("payload")).alias("payload"), F.when(full, F.xxhash64("payload", F.array_sort(F.map_entries("headers")))).alias("digest"),
+    )
+    rows = materialize(rows, "warc-rows")  # the numbers are set once
+    ref = F.when(F.col("full"), F.struct("t", "record_id", "etag", "modified", "digest", "row"))
+    slim = rows.select("row", "record_id", "curl", "t", "day", "full", "etag", "modified", ref.alias("ref"), *[F.when(~F.col("full"), F.col(c)).alias(n) for c, n in (("url", "url"), ("ts", "ts"), ("headers", "own_headers"))])
     within = Window.partitionBy("curl", "day").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    near = slim.withColumn("near", F.max("ref").over(within)).where("kind = 'revisit'").drop("ref", "kind")
-    days = slim.where("ref is not null").groupBy("curl", "day").agg(F.max("ref").alias("ref")).union(slim.where("kind = 'revisit' and curl is not null").select("curl", "day", F.lit(None).cast(slim.schema["ref"].dataType).alias("ref")).distinct())
+    near = slim.withColumn("near", F.max("ref").over(within)).where(~F.col("full")).drop("ref", "full")
+    days = slim.where("full").groupBy("curl", "day").agg(F.max("ref").alias("ref")).union(slim.where(~F.col("full") & F.col("curl").isNotNull()).select("curl", "day", F.lit(None).cast(slim.schema["ref"].dataType).alias("ref")).distinct())
     days = days.groupBy("curl", "day").agg(F.max("ref").alias("ref"))
     before = Window.partitionBy("curl").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     days = days.select("curl", "day", F.max("ref").over(before).alias("far"))
@@ -78,10 +86,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         .when(F.coalesce(same_tag, F.lit(True)) & F.coalesce(same_time, F.lit(True)), "RESOLVED")
         .otherwise("VALIDATOR_MISMATCH")
     )
-    found = found.select("record_id", F.col("curl").alias("canonical_url"), state.alias("state"), F.col("src.record_id").alias("source_id"))
-    own = records.where("kind = 'revisit'").select("record_id", "url", "ts", F.col("headers").alias("own_headers"))
-    source = records.where("kind = 'response'").select(F.col("record_id").alias("from_id"), F.col("headers").alias("src_headers"), "payload")
-    out = found.join(own, "record_id").join(source, (F.col("source_id") == F.col("from_id")) & (F.col("state") == "RESOLVED"), "left")
+    found = found.select("record_id", "url", F.col("curl").alias("canonical_url"), "ts", "own_headers", state.alias("state"), F.col("src.record_id").alias("source_id"), F.when(state == "RESOLVED", F.col("src.row")).alias("from_row"))
+    source = rows.where("full").select("row", F.col("headers").alias("src_headers"), "payload")
+    out = found.join(source, F.col("from_row") == F.col("row"), "left")
     allowed = F.map_filter("own_headers", lambda k, v: k.isin(*PERMITTED) & v.isNotNull())
     kept = F.map_filter("src_headers", lambda k, v: ~F.coalesce(F.map_contains_key(allowed, k), F.lit(False)))
     merged = F.when(F.col("state") == "RESOLVED", F.map_concat(F.coalesce(kept, F.create_map().cast("map<string,string>")), F.coalesce(allowed, F.create_map().cast("map<string,string>")))).otherwise(F.col("own_headers"))

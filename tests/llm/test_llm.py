@@ -271,6 +271,34 @@ def test_revisits(spark):
     assert got["v1"].headers == {"etag": '"1"', "content-type": "t", "date": "n"} and bytes(got["v1"].payload) == b"one"
 
 
+def test_revisits_with_null_and_repeated_ids(spark):
+    """One row for each revisit, whatever the ids; a response is found by its row, not by its id."""
+    shape = "record_id string, url string, ts string, kind string, status int, headers map<string,string>, payload binary"
+    hit = lambda i, p: (i, "http://a.com/x", "2024-01-01 00:00:00", "response", 200, {"etag": "1", "x": p.decode()}, p)
+    again = lambda i, tag="1": (i, "http://a.com/x", "2024-01-02 00:00:00", "revisit", 304, {"etag": tag}, None)
+    rows = [hit("r", b"one")] * 4 + [again("v")] * 4 + [again(None)] * 3 + [again("w", "2")] * 2 + [(None, None, None, "revisit", 304, None, None)] * 2
+    got = warc.resolve_revisits(spark.createDataFrame(rows, shape).withColumn("ts", F.col("ts").cast("timestamp")).repartition(3)).collect()
+    assert sorted((r.record_id or "", r.state, bytes(r.payload or b"")) for r in got) == [("", "NO_EARLIER_RESPONSE", b"")] * 2 + [("", "RESOLVED", b"one")] * 3 + [("v", "RESOLVED", b"one")] * 4 + [("w", "VALIDATOR_MISMATCH", b"")] * 2
+    rows = [hit(None, b"p"), hit(None, b"q"), again("v"), again("v")]
+    got = warc.resolve_revisits(spark.createDataFrame(rows, shape).withColumn("ts", F.col("ts").cast("timestamp")).repartition(3)).collect()
+    assert len(got) == 2 and {r.state for r in got} == {"RESOLVED"} and len({(r.headers["x"], bytes(r.payload)) for r in got}) == 1
+    assert all(r.headers["x"] == bytes(r.payload).decode() for r in got)
+
+
+def test_revisits_of_null_and_repeated_pages(spark, tmp_path):
+    """The query keeps the revisits of null page ids, as its SQL does, and gives one row for each of repeated pages."""
+    page = [(3, "http://a/3", "<p>x</p>"), (5, "http://a/5", None), (None, "http://a/n", "<p>n</p>"), (None, None, "m")]
+    read = lambda rows: (spark.createDataFrame(rows, "page_id bigint, url string, html string").write.mode("overwrite").parquet(f"{tmp_path}/pages.parquet"), Q.op8_warc_revisits(spark, str(tmp_path)))[1]
+    df = read(page)
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    rel = con.execute(Q.ORACLE_SQL["op8_warc_revisits"])
+    names = [x[0] for x in rel.description]
+    one = sorted(str([r[c] for c in names]) for r in df.collect())
+    assert one == sorted(str(list(r)) for r in rel.fetchall()) and len(one) == 5
+    assert sorted(str([r[c] for c in names]) for r in read(page * 6).collect()) == sorted(one * 6)
+
+
 def test_warc_files(spark, tmp_path):
     body = b"HTTP/1.1 200 OK\r\nETag: x\r\n\r\nhello"
     (tmp_path / "a.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <1>\r\nWARC-Target-URI: http://a/\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body))
