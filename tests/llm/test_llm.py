@@ -368,6 +368,17 @@ def test_pipeline_stages_on_rows_without_ids(spark):
     assert cut.columns == df.columns and {(r._al_lines, r._al_key) for r in cut.collect()} == {(1, "x")}
 
 
+def test_pipeline_stages_on_repeated_ids(spark):
+    """One row of a group stays, also if its id is in another group; a clean row stays beside a contaminated one of its id."""
+    x, y, z = (" ".join(f"{w}{i}" for i in range(300)) for w in ("red", "oak", "sea"))
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in [(5, x), (7, x.upper()), (3, y), (5, y.upper()), *[(9, z)] * 40, (9, z.upper())]], DOCS).repartition(3)
+    near = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    assert sorted((i, t.lower()) for i, t in near) == [(3, y), (5, x), (9, z)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in [(1, item), (1, x), (1, x), (2, y), (2, item)]], DOCS).repartition(3)
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, df, SF).collect()) == [(1, x), (1, x), (2, y)]
+
+
 def test_pipeline_stages_on_empty_table(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
