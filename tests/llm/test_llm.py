@@ -250,6 +250,21 @@ def test_lines(spark):
     assert line_dedup.line_report(docs(spark, [])).count() == 0
 
 
+def test_line_query_where_lines_are_cut(spark, tmp_path):
+    """Query and SQL on hosts on both sides of MIN_PAGES, with a null host; the stage cuts the same texts."""
+    hosts = {"large": 30, "edge": line_dedup.MIN_PAGES, "small": line_dedup.MIN_PAGES - 1, None: 25}
+    rows = [(f"menu\n own {h} {i} \n\nmenu \nrare {i // 2}", h) for h, n in hosts.items() for i in range(n)] + [(None, "large"), ("", "large")]
+    df = spark.createDataFrame([(i, t, "en", h, len(t or "")) for i, (t, h) in enumerate(rows)], DOCS)
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.execute(Q.ORACLE_SQL["op7_line_dedup"]).fetchall())
+    got = sorted(tuple(r) for r in Q.op7_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "text_sha256").collect())
+    assert got == want and {h: max(got[i][2] for i, r in enumerate(rows) if r[1] == h) for h in hosts} == {"large": 2, "edge": 2, "small": 0, None: 2}
+    cut = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in corpus_pipeline.cut_boilerplate(spark, df, str(tmp_path)).collect()}
+    assert cut == {r[0]: r[3] for r in got}
+
+
 def test_chats(spark):
     a, b = ("user", "hi"), ("assistant", "yo")
     logs = {1: [a], 2: [a, b], 3: [a, b], 4: [a, ("assistant", "no")], 5: [(None, None)], 6: [a, b, ("user", "more")], 7: [("user", None)]}
