@@ -16,10 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, held, tidy
+from .common import crc_mod, held, materialize, tidy
 
 #: Most training rows, chosen by a hash of their id within each language.
-TRAIN_ROWS_PER_LANG, LANGS = 600, 400
+TRAIN_ROWS_PER_LANG = 600
+#: Training rows of all languages (32 KB each in the driver) up to which each may have its most; but each has one at least.
+TRAIN_ROWS = 12_000
+#: Languages up to which their counts and training ids are broadcast.
+BROADCAST_LANGS = 100_000
 BITS, CENTROIDS, ROUNDS = 13, 4, 12
 DIMS = 1 << BITS
 #: Share of training texts of a language that may be further away.
@@ -56,19 +60,23 @@ def vector(text: str | None, idf):
 
 
 def _training(docs: DataFrame, per_lang: int) -> DataFrame:
-    """``lang, text`` of at most ``per_lang`` ids of each of at most ``LANGS`` languages; of a repeated id the least text.
+    """``lang, text`` of at most ``per_lang`` ids of every language, fewer if they are many; of a repeated id the least text.
 
     A hash of the id first thins a language with many rows to about one and a
-    half times the bound, so the row numbers are over few ids at any size.
+    half times the bound (never under 45 rows, so that none is thinned away),
+    so the row numbers are over few ids at any size.
     """
     from pyspark.sql import Window
 
     ok = docs.where(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2)).select("doc_id", F.col("lang").cast("string").alias("lang"))
-    langs = ok.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS)
-    thin = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) < F.lit(1_500_000.0 * per_lang) / F.col("n")
+    langs = materialize(ok.groupBy("lang").agg(F.count("*").alias("n")), "langid-langs")
+    n = langs.count()
+    per_lang = max(1, min(per_lang, TRAIN_ROWS // max(n, 1)))
+    small = F.broadcast if n <= BROADCAST_LANGS else lambda df: df  # a checked size
+    thin = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) < F.lit(1_500_000.0 * max(per_lang, 30)) / F.col("n")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ok.join(F.broadcast(langs), "lang").where(thin).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang").distinct()
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # at most per_lang * LANGS ids
+    ids = ok.join(small(langs), "lang").where(thin).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang").distinct()
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).join(small(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def _unit(c):

@@ -240,6 +240,17 @@ def test_repeated_ids_are_learned_once(spark):
     assert langid._training(rows, 10).where("doc_id = 1").count() <= 1
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rows = spark.range(6000).selectExpr("id as doc_id", "concat('l', id % 450) as lang", "concat('text ', id) as text")
+    assert langid._training(rows, 3).select("lang").distinct().count() == 450
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 900)
+    many = langid._training(rows, 600).groupBy("lang").count().agg(F.count("*"), F.max("count")).first()
+    assert tuple(many) == (450, 2)
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 1)
+    one = rows.union(spark.range(6000, 9000).selectExpr("id", "'l0'", "'more'"))
+    assert langid._training(one, 600).count() == 450
+
+
 # -- lines, chats, captures, pages
 
 
