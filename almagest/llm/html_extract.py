@@ -48,9 +48,9 @@ class _Block:
         self.content, self.furniture, self.named, self.heading, self.label = state
 
 
-def _names(attrs: str) -> tuple[int, int, int]:
-    """Furniture and content words in an element's attributes; whether it is hidden."""
-    bad = good = hidden = 0
+def _names(attrs: str) -> tuple[int, int, int, int]:
+    """Furniture words in an element's attributes, as whole names and as parts of names; content words; whether it is hidden."""
+    bad = part = good = hidden = 0
     for key, value in _ATTR.findall(attrs) if _MAY_TELL(attrs) else ():
         key = key.lower()
         if key not in _TELLING:  # not aria-hidden, nor a word inside another attribute's value
@@ -60,16 +60,18 @@ def _names(attrs: str) -> tuple[int, int, int]:
             hidden = 1
         elif key != "style":
             found = {*_NAME.findall(value), *_SPLIT.findall(value), *value.split()}
-            bad += bool(found & FURNITURE_WORDS)
+            whole = bool(set(value.split()) & FURNITURE_WORDS)
+            bad += whole
+            part += not whole and bool(found & FURNITURE_WORDS)
             good += bool(set(value.split()) & CONTENT_WORDS)
-    return bad, good, hidden
+    return bad, part, good, hidden
 
 
 def blocks(page: str) -> list[tuple[str, list[float], int | None]]:
     """``(text, COLUMNS, label)`` of the text blocks; label only from ``data-y`` (samples)."""
     out: list[_Block] = []
-    stack: list[tuple] = []  # name, content, furniture, named, heading, silent, link, label
-    top = ("", 0, 0, 0, 0, 0, 0, None)
+    stack: list[tuple] = []  # name, content, furniture, named, heading, silent, link, label, named in part
+    top = ("", 0, 0, 0, 0, 0, 0, None, 0)
     now: _Block | None = None
     at, n = 0, len(page)
 
@@ -80,7 +82,7 @@ def blocks(page: str) -> list[tuple[str, list[float], int | None]]:
         if now is None:
             if not text.strip():
                 return
-            now = _Block((top[1], top[2], top[3], top[4], top[7]))
+            now = _Block((top[1], top[2], top[3] + top[8], top[4], top[7]))
             out.append(now)
         text = html.unescape(text)
         now.parts.append(text)
@@ -105,7 +107,7 @@ def blocks(page: str) -> list[tuple[str, list[float], int | None]]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
-                    top = stack[-1] if stack else ("", 0, 0, 0, 0, 0, 0, None)
+                    top = stack[-1] if stack else ("", 0, 0, 0, 0, 0, 0, None, 0)
                     break
             continue
         while stack and stack[-1][0] in CLOSED_BY and name in CLOSED_BY[stack[-1][0]]:
@@ -118,14 +120,17 @@ def blocks(page: str) -> list[tuple[str, list[float], int | None]]:
                 i -= 1
             if i < len(stack):
                 del stack[i:]
-        top = stack[-1] if stack else ("", 0, 0, 0, 0, 0, 0, None)
+        top = stack[-1] if stack else ("", 0, 0, 0, 0, 0, 0, None, 0)
         if name in VOID:
             continue
-        bad, good, hidden = _names(attrs) if attrs.strip() else (0, 0, 0)
+        bad, part, good, hidden = _names(attrs) if attrs.strip() else (0, 0, 0, 0)
         own = re.search(r"data-y=\"?([01])", attrs) if "data-y" in attrs else None
         content = top[1] + (name in CONTENT or good > 0)
+        free = name in ("body", "html", "article", "main")
+        # a wrapper such as has-sidebar says nothing of the article in it
+        parts = 0 if content > top[1] else top[8] + (part > 0 and bad == 0 and not free)
         furniture = top[2] + (name in FURNITURE or name == "header" and not top[1])
-        item = (name, content, furniture, top[3] + (bad > 0 and name not in ("body", "html", "article", "main")), int(name in ("h1", "h2", "h3", "h4", "h5", "h6") or top[4]), int(top[5] or name in SILENT or hidden), int(name == "a" or top[6]), int(own[1]) if own else top[7])
+        item = (name, content, furniture, top[3] + (bad > 0 and not free), int(name in ("h1", "h2", "h3", "h4", "h5", "h6") or top[4]), int(top[5] or name in SILENT or hidden), int(name == "a" or top[6]), int(own[1]) if own else top[7], parts)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -154,6 +159,9 @@ SAMPLES = (
     '<body><div data-y=0><a href=1>Home</a> <a href=2>About</a> <a href=3>Contact</a></div><div data-y=1><p>The committee met on Tuesday to talk about the new bridge, its cost and the time it will take to build it across the bay.</p><p>Members from both sides agreed that the present one cannot carry the traffic any longer and should be closed to lorries.</p><p>A vote is due in spring, when the money for the work has been found by the county.</p></div><div data-y=0><a href=4>Next page</a></div></body>',
     '<body><nav data-y=0><p>All sections of this site in one long list for readers who like to look around for a while.</p></nav><article data-y=1><header><h1>Old maps</h1></header><p>Maps.</p><p>Some of them are five hundred years old and were drawn on the skin of goats by monks.</p><div class="ad" data-y=0>Maps for sale at half the price this week only in our shop.</div><p>They are kept in a dry room.</p><section class="comments" data-y=0><p>I have seen those maps myself last year and they are a wonder to look at.</p></section><aside data-y=0><p>Read also: the history of paper in the old world.</p></aside></article><footer data-y=0>&copy; Museum</footer></body>',
     '<body><article data-y=1><p>Short.</p><p><a href=1>A sentence that is a link as a whole in the article</a></p><h2>Part two</h2><p>One more line of text here.</p></article><div class="newsletter" data-y=0><p>Leave your address and we will write to you.</p></div><div class="share" data-y=0><a href=2>Share</a></div><footer data-y=0><a href=3>Terms</a> of use of this page</footer></body>',
+    '<body><div data-y=0><a href=1>Start</a> <a href=2>Archive</a></div><div data-y=1><h1>A walk by the lake</h1><p>We left early.</p><p>The path runs along the shore for an hour and then climbs through the wood to a small chapel on the hill.</p><h2>What to take</h2><ul><li>Water</li><li>A map of the lake</li></ul><table><tr><td>Length</td><td>nine miles</td></tr></table><p>Dogs may come too, see <a href=5>the rules of the park</a> for more on it.</p><p>Boats run <a href=6>from May on</a> only.</p><p>The chapel was built by fishermen, as <a href=7>a letter in the town hall</a> says, and has been kept by their families since then.</p></div><div data-y=0><a href=3>Older</a></div><ul data-y=0><li><a href=4>Imprint</a></li></ul></body>',
+    '<body><p data-y=1>Rye bread</p><p data-y=1>Mix flour and water and wait a day.</p><p data-y=1>Then bake it.</p><p data-y=0><a href=1>Back to all recipes</a></p><div class="footer" data-y=0><p>Made by hand in a small village.</p></div></body>',
+    '<body><div class="layout has-sidebar"><div class="header-fixed"><article data-y=1><h1>Tides</h1><p>The sea comes and goes twice a day.</p><p>It is the moon.</p></article><div class="sidebar" data-y=0><p>Our shop has new books on the sea.</p></div></div></div></body>',
 )
 
 

@@ -343,6 +343,16 @@ def test_html_attributes():
     assert html_extract.main_text(page) == "One two three four"
 
 
+def test_html_short_blocks_and_layout_names():
+    long = "The council spoke about the harbour, what it costs and how long the work on its walls will take from now on."
+    page = f'<body><div><a href=1>Home</a> <a href=2>About</a></div><div><h1>Harbour</h1><p>{long}</p><p>It is late.</p><p>{long} Read <a href=3>all of it</a>.</p><p>Or <a href=4>a part</a> now.</p><ul><li>One item</li></ul><table><tr><td>a cell</td></tr></table></div><div><a href=5>Older</a></div><div class="site-footer"><p>All rights kept.</p></div></body>'
+    assert html_extract.main_text(page) == f"Harbour\n{long}\nIt is late.\n{long} Read all of it.\nOr a part now.\nOne item\na cell"
+    for name in ("has-sidebar", "header-fixed", "no-ads"):
+        page = f'<div class="{name}"><div><article><h1>Harbour</h1><p>{long}</p><div class="ad-box"><p>Buy now.</p></div></article></div><div class="sidebar"><p>Read more here.</p></div></div>'
+        assert html_extract.main_text(page) == f"Harbour\n{long}"
+    assert html_extract.main_text(f'<div class="comments"><article><p>{long}</p></article></div>') == ""
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (2, None, "<article><p>é x</p></article>")], "page_id bigint, url string, html string")
     got = {r.page_id: r for r in html_extract.extract(df).collect()}
