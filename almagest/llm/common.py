@@ -20,12 +20,15 @@ _OWN: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    folder of this process, which is removed when the process ends.
+    Only a local session without ``spark.checkpoint.dir`` (a test) gets a
+    folder of this process, which is removed when the process ends. On a
+    cluster the setting must be there: executors could not read such a folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="almagest-checkpoint-"))
         atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
@@ -40,25 +43,38 @@ def materialize(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
     It cuts the lineage, survives the loss of any executor, and stops Spark
-    from computing an expensive input once per consumer.
+    from computing an expensive input once per consumer. The files go when the
+    session's JVM ends, or before that by ``discard``.
     """
     path = scratch_path(df.sparkSession, tag)
     df.write.options(**options).parquet(path)
+    forget_at_end(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder when the JVM ends."""
+    p, fs = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a materialized frame that has no more readers."""
     path = getattr(df, "_scratch", None)
     if path:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        p, fs = _hadoop(df.sparkSession, path)
+        fs.delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; keeps the session's Arrow batches small (``text_batches``)."""
     text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

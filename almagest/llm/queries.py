@@ -96,7 +96,7 @@ with d as (select row_number() over () as rid, doc_id, source, text from documen
 l as (select rid, doc_id, source, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from d),
 tot as (select source, count(*) as total from d group by source),
 bad as (select l.source, trim(line) as t from l join tot on l.source is not distinct from tot.source where trim(line) <> ''
-  group by l.source, trim(line), total having total >= {line_dedup.MIN_PAGES} and count(distinct rid) > total * {line_dedup.RATIO}),
+  group by l.source, trim(line), total having count(distinct rid) >= {line_dedup.HELD_BY} and count(distinct rid) > total * {line_dedup.RATIO}),
 m as (select l.rid, l.pos, l.line, bad.t is not null as cut from l left join bad on l.source is not distinct from bad.source and trim(l.line) = bad.t),
 g as (select rid, count(*) as n_lines, count(*) filter (where cut) as n_dropped, string_agg(line, chr(10) order by pos) filter (where not cut) as kept from m group by rid)
 select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped, sha256(coalesce(kept, '')) as text_sha256

@@ -261,9 +261,21 @@ def test_lines(spark):
     assert line_dedup.line_report(docs(spark, [])).count() == 0
 
 
+def test_line_parameters(spark, monkeypatch):
+    """The caller's ratio and minimum decide alone; lists too long to broadcast give the same rows."""
+    df = docs(spark, ["a\nb", "a\nc", "d", "e", "f"])
+    cut = lambda **k: {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df, **k).collect()}
+    assert cut(ratio=0.1, held_by=1) == dict.fromkeys(range(5), "")
+    assert cut(ratio=0.3, held_by=1) == cut(ratio=0.1, held_by=2) == {0: "b", 1: "c", 2: "d", 3: "e", 4: "f"}
+    assert cut(ratio=0.5, held_by=1) == cut() == {0: "a\nb", 1: "a\nc", 2: "d", 3: "e", 4: "f"}
+    want = cut(ratio=0.3, held_by=1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    assert cut(ratio=0.3, held_by=1) == want
+
+
 def test_line_query_where_lines_are_cut(spark, tmp_path):
-    """Query and SQL on hosts on both sides of MIN_PAGES, with a null host; the stage cuts the same texts."""
-    hosts = {"large": 30, "edge": line_dedup.MIN_PAGES, "small": line_dedup.MIN_PAGES - 1, None: 25}
+    """Query and SQL on hosts of many and of few pages, with a null host; the stage cuts the same texts."""
+    hosts = {"large": 30, "edge": 20, "small": 3, "two": 2, None: 25}
     rows = [(f"menu\n own {h} {i} \n\nmenu \nrare {i // 2}", h) for h, n in hosts.items() for i in range(n)] + [(None, "large"), ("", "large")]
     df = spark.createDataFrame([(i, t, "en", h, len(t or "")) for i, (t, h) in enumerate(rows)], DOCS)
     df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
@@ -271,7 +283,7 @@ def test_line_query_where_lines_are_cut(spark, tmp_path):
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     want = sorted(con.execute(Q.ORACLE_SQL["op7_line_dedup"]).fetchall())
     got = sorted(tuple(r) for r in Q.op7_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "text_sha256").collect())
-    assert got == want and {h: max(got[i][2] for i, r in enumerate(rows) if r[1] == h) for h in hosts} == {"large": 2, "edge": 2, "small": 0, None: 2}
+    assert got == want and {h: max(got[i][2] for i, r in enumerate(rows) if r[1] == h) for h in hosts} == {"large": 2, "edge": 2, "small": 2, "two": 0, None: 2}
     cut = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in corpus_pipeline.cut_boilerplate(spark, df, str(tmp_path)).collect()}
     assert cut == {r[0]: r[3] for r in got}
 
@@ -378,7 +390,7 @@ def test_pipeline_by_brute_force(spark, library):
         for i in ids:
             for x in {x.strip(" ") for x in left[i].split("\n")} - {""}:
                 seen[x] = seen.get(x, 0) + 1
-        bad = {x for x, n in seen.items() if len(ids) >= line_dedup.MIN_PAGES and n > len(ids) * line_dedup.RATIO}
+        bad = {x for x, n in seen.items() if n >= line_dedup.HELD_BY and n > len(ids) * line_dedup.RATIO}
         for i in ids:
             left[i] = "\n".join(x for x in left[i].split("\n") if x.strip(" ") not in bad)
     root = _classes({i: _fp(t) for i, t in left.items()})
