@@ -109,11 +109,11 @@ v as (select page_id, html, '"' || md5(html) || '"' as tag,
   regexp_replace(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', '') as rest from u),
 c as (select page_id, html, tag, head || case when regexp_replace(rest, '\?.*$', '') = '' then '/' else regexp_replace(rest, '\?.*$', '') end ||
   coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda x: x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))), '&'), ''), '') as url from v),
-a as (select 'a' || page_id as record_id, url, page_id * 60 as t, tag, html from c),
+a as (select distinct 'a' || page_id as record_id, url, page_id * 60 as t, tag, html from c where page_id is not null and url is not null),
 r as (select 'b' || page_id as record_id, url, page_id * 60 + 21600 as t, case when page_id % 5 = 0 then '"stale"' else tag end as tag, 'd1' as d from c
   union all select 'c' || page_id, url, page_id * 60 - 3600, tag, 'd2' from c where page_id % 3 = 0),
-m as (select r.record_id, r.url, r.tag, r.d, (select max({'t': a.t, 'id': a.record_id}) from a where a.url = r.url and a.t < r.t)['id'] as source_id from r),
-s as (select m.*, a.html, case when source_id is null then 'NO_EARLIER_RESPONSE' when a.tag = m.tag then 'RESOLVED' else 'VALIDATOR_MISMATCH' end as state from m left join a on a.record_id = m.source_id)
+m as (select r.*, (select max({'t': a.t, 'id': a.record_id, 'tag': a.tag}) from a where a.url = r.url and a.t < r.t) as src from r),
+s as (select m.*, a.html, src['id'] as source_id, case when src is null then 'NO_EARLIER_RESPONSE' when a.tag = m.tag then 'RESOLVED' else 'VALIDATOR_MISMATCH' end as state from m left join a on a.record_id = m.src['id'] and a.tag = m.src['tag'] and a.t = m.src['t'] and a.url = m.url)
 select record_id, url as canonical_url, state, source_id, tag as etag, case when state = 'RESOLVED' then 'text/html' else 'text/none' end as content_type,
   d as header_date, case when state = 'RESOLVED' then sha256(html) end as payload_sha256 from s"""
 

@@ -6,8 +6,9 @@ canonical URL; the validators of both must agree; then it takes the response's
 payload and headers, updated by those headers that a 304 answer may change.
 
 The as-of join has two levels, so that a URL with a third of all captures is
-not one task: within (URL, day) by a window, and over the days of a URL, of
-which only the latest response each is left.
+not one task: within (URL, hour) by a window, and over the hours of a URL, of
+which only the latest response each is left. Revisits without URL or time take
+no part in it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -57,8 +59,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     RESOLVED, NO_EARLIER_RESPONSE, NO_COMMON_VALIDATOR, VALIDATOR_MISMATCH; only
     RESOLVED rows take payload and headers. A revisit without URL or time has
     no earlier response; responses without them, and rows of other kinds, are
-    ignored. Every revisit gives one row, also if record ids are null or
-    repeat: rows are told apart by a number of their own. Of responses that
+    ignored; an empty table gives an empty result. Every revisit gives one
+    row, also if record ids are null or repeat: rows are told apart by a number of their own. Of responses that
     share id and time the largest by validators, then by a digest of headers
     and payload, is taken. Extra columns are ignored.
     """
@@ -66,19 +68,20 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200) & t.isNotNull() & curl.isNotNull(), F.lit(False))
     revisit = F.col("kind") == "revisit"
     rows = records.where(full | revisit).select(
-        F.monotonically_increasing_id().alias("row"), "record_id", "url", "ts", curl.alias("curl"), t.alias("t"), F.floor(t / 86_400_000_000).alias("day"), full.alias("full"), _validator("etag").alias("etag"), _validator("last-modified").alias("modified"), "headers",
+        F.monotonically_increasing_id().alias("row"), "record_id", "url", "ts", curl.alias("curl"), t.alias("t"), F.floor(t / 3_600_000_000).alias("hour"), full.alias("full"), _validator("etag").alias("etag"), _validator("last-modified").alias("modified"), "headers",
         F.when(full, F.col("payload")).alias("payload"), F.when(full, F.xxhash64("payload", F.array_sort(F.map_entries("headers")))).alias("digest"),
     )
     rows = materialize(rows, "warc-rows")  # the numbers are set once
     ref = F.when(F.col("full"), F.struct("t", "record_id", "etag", "modified", "digest", "row"))
-    slim = rows.select("row", "record_id", "curl", "t", "day", "full", "etag", "modified", ref.alias("ref"), *[F.when(~F.col("full"), F.col(c)).alias(n) for c, n in (("url", "url"), ("ts", "ts"), ("headers", "own_headers"))])
-    within = Window.partitionBy("curl", "day").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    near = slim.withColumn("near", F.max("ref").over(within)).where(~F.col("full")).drop("ref", "full")
-    days = slim.where("full").groupBy("curl", "day").agg(F.max("ref").alias("ref")).union(slim.where(~F.col("full") & F.col("curl").isNotNull()).select("curl", "day", F.lit(None).cast(slim.schema["ref"].dataType).alias("ref")).distinct())
-    days = days.groupBy("curl", "day").agg(F.max("ref").alias("ref"))
-    before = Window.partitionBy("curl").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("curl", "day", F.max("ref").over(before).alias("far"))
-    found = near.join(days, ["curl", "day"], "left").withColumn("src", F.coalesce("near", "far"))
+    slim = rows.select("row", "record_id", "curl", "t", "hour", "full", "etag", "modified", ref.alias("ref"), *[F.when(~F.col("full"), F.col(c)).alias(n) for c, n in (("url", "url"), ("ts", "ts"), ("headers", "own_headers"))])
+    placed = slim.where(F.col("curl").isNotNull() & F.col("t").isNotNull())
+    lost = slim.where(F.col("curl").isNull() | F.col("t").isNull()).drop("full").withColumnRenamed("ref", "src")
+    within = Window.partitionBy("curl", "hour").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+    near = placed.withColumn("near", F.max("ref").over(within)).where(~F.col("full")).drop("ref", "full")
+    hours = placed.groupBy("curl", "hour").agg(F.max("ref").alias("ref"))
+    before = Window.partitionBy("curl").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("curl", "hour", F.max("ref").over(before).alias("far"))
+    found = near.join(hours, ["curl", "hour"], "left").withColumn("src", F.coalesce("near", "far")).drop("near", "far").unionByName(lost)
     same_tag, same_time = F.col("etag") == F.col("src.etag"), F.col("modified") == F.col("src.modified")
     state = (
         F.when(F.col("src").isNull(), "NO_EARLIER_RESPONSE")
@@ -95,9 +98,21 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     return out.select("record_id", "url", "canonical_url", "ts", "state", "source_id", merged.alias("headers"), "payload")
 
 
-def parse_warc(data: bytes) -> Iterator[dict]:
-    """Records of one WARC file, plain or gzip, of which HTTP headers and payload are taken apart."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data))) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+def _length(text: str) -> int | None:
+    return int(text) if text.isascii() and text.isdigit() else None
+
+
+def parse_warc(stream) -> Iterator[dict]:
+    """Records of a WARC file, plain or gzip, read one by one from a binary stream (or bytes).
+
+    HTTP headers and payload are taken apart. Missing fields are null, headers
+    then empty. A record without a readable length has no payload, and reading
+    goes on at the next record's first line; one that the file cuts short has
+    what is left of it; lines between records are skipped.
+    """
+    stream = io.BufferedReader(io.BytesIO(stream) if isinstance(stream, bytes) else stream)
+    if stream.peek(2)[:2] == b"\x1f\x8b":
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream))
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -105,31 +120,76 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         while (line := stream.readline()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             head[name.strip().lower()] = value.strip()
-        body = stream.read(int(head.get("content-length", 0)))
-        status, headers, payload = None, {}, body
-        if head.get("content-type", "").startswith("application/http"):
+        size = _length(head.get("content-length", ""))
+        body = payload = None if size is None else stream.read(size)
+        status, headers = None, {}
+        if body is not None and head.get("content-type", "").startswith("application/http"):
             top, _, payload = body.partition(b"\r\n\r\n")
             first, *rest = top.decode("latin-1").split("\r\n")
             words = first.split()
-            status = int(words[1]) if len(words) > 1 and words[1].isdigit() else None
+            status = int(words[1]) if len(words) > 1 and words[1].isascii() and words[1].isdigit() and len(words[1]) < 9 else None
             for item in rest:
                 name, _, value = item.partition(":")
                 headers[name.strip().lower()] = value.strip()
         yield {"record_id": head.get("warc-record-id"), "url": head.get("warc-target-uri", "").strip("<>") or None, "ts": head.get("warc-date"), "kind": head.get("warc-type"), "status": status, "headers": headers, "payload": payload}
 
 
+#: Records and bytes of payload that are handed on together.
+PASSED_ROWS, PASSED_BYTES = 500, 16 << 20
+#: File systems that a task opens by itself and reads as a stream.
+STREAMED = ("file", "hdfs", "s3", "gs", "abfs")
+
+
+def _framed(records: Iterator[dict]) -> Iterator[pd.DataFrame]:
+    names, rows, size = ["record_id", "url", "ts", "kind", "status", "headers", "payload"], [], 0
+
+    def frame() -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=names)
+        out["ts"] = pd.to_datetime(out["ts"], utc=True, errors="coerce", format="ISO8601").dt.tz_localize(None)
+        out["status"] = out["status"].astype("Int32")
+        return out
+
+    for r in records:
+        rows.append(r)
+        size += len(r["payload"] or b"")
+        if len(rows) >= PASSED_ROWS or size >= PASSED_BYTES:
+            yield frame()
+            rows, size = [], 0
+    if rows:
+        yield frame()
+
+
 def read_warc(spark, path: str) -> DataFrame:
-    """Records of the WARC files under ``path``; one file is one task's work."""
+    """Records of the WARC files under ``path``; one file is one task's work.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A task reads its file as a stream and hands records on in batches, so a
+    file may be larger than its memory. Only where the file system is none of
+    ``STREAMED`` does Spark load a file as one value. Malformed records are as
+    in ``parse_warc``; a date that cannot be read is null; no file, no rows.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    scheme = path.split("://")[0] if "://" in path else "file"
+
+    def streams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for frame in frames:
+            for name in frame["path"]:
+                if name.startswith("file:"):
+                    system, inner = fs.LocalFileSystem(), "/" + name.removeprefix("file:").lstrip("/")
+                else:
+                    system, inner = fs.FileSystem.from_uri(quote(name, safe=":/@"))
+                with system.open_input_stream(inner, compression=None) as stream:
+                    yield from _framed(parse_warc(stream))
+
+    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for data in frame["content"]:
-                rows = pd.DataFrame(parse_warc(bytes(data)), columns=["record_id", "url", "ts", "kind", "status", "headers", "payload"])
-                rows["ts"] = pd.to_datetime(rows["ts"], utc=True, errors="coerce").dt.tz_localize(None)
-                rows["status"] = rows["status"].astype("Int32")
-                yield rows
+                yield from _framed(parse_warc(bytes(data)))
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, RECORD)
+    if scheme in STREAMED:
+        return files.select("path").mapInPandas(streams, RECORD)
+    return files.select("content").mapInPandas(whole, RECORD)
 
 
 def page_captures(pages: DataFrame) -> DataFrame:

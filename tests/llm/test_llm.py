@@ -335,6 +335,8 @@ def test_revisits_of_null_and_repeated_pages(spark, tmp_path):
     one = sorted(str([r[c] for c in names]) for r in df.collect())
     assert one == sorted(str(list(r)) for r in rel.fetchall()) and len(one) == 5
     assert sorted(str([r[c] for c in names]) for r in read(page * 6).collect()) == sorted(one * 6)
+    assert sorted(str(list(r)) for r in con.execute(Q.ORACLE_SQL["op8_warc_revisits"]).fetchall()) == sorted(one * 6)
+    assert read(page).limit(0).count() == 0 and warc.resolve_revisits(warc.page_captures(spark.createDataFrame([], "page_id bigint, url string, html string"))).count() == 0
 
 
 def test_warc_files(spark, tmp_path):
@@ -344,6 +346,22 @@ def test_warc_files(spark, tmp_path):
     assert (r.kind, r.status, r.headers, bytes(r.payload)) == ("response", 200, {"etag": "x"}, b"hello")
 
 
+def test_warc_streams_malformed_and_compressed(spark, tmp_path, monkeypatch):
+    """Records come in batches; one without a length has no payload; a cut file keeps what it has; gzip by record."""
+    import gzip
+
+    one = lambda i, body, size=None: b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <%d>\r\nContent-Length: %s\r\n\r\n%s\r\n\r\n" % (i, size or str(len(body)).encode(), body)
+    (tmp_path / "b c.warc.gz").write_bytes(b"".join(gzip.compress(one(i, b"x" * i)) for i in range(1200)))
+    (tmp_path / "bad.warc").write_bytes(b"noise\n" + one(5000, b"lost", b"many") + one(5001, b"good") + one(5002, b"cut", b"900"))
+    (tmp_path / "none.warc").write_bytes(b"")
+    monkeypatch.setattr(warc, "PASSED_BYTES", 10_000)
+    got = {int(r.record_id[1:-1]): r for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert len(got) == 1203 and all(len(got[i].payload) == i for i in range(1200))
+    assert got[5000].payload is None and bytes(got[5001].payload) == b"good" and bytes(got[5002].payload).startswith(b"cut") and got[5001].ts is None
+    frames = list(warc._framed(warc.parse_warc(b"".join(one(i, b"x" * 4000) for i in range(9)))))
+    assert [len(f) for f in frames] == [3, 3, 3]
+
+
 def test_html():
     page = '<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><nav><a href=1>Home</a></nav><div class="ad">Buy now all of it.</div><article><h1>Head &amp; line</h1><p>One <b>two\n three<br>four<p>A &lt;b&gt; c<div class="comments"><p>I like it a lot, thanks.</p></div></article><form><p>Mail us your address.</p></form><footer>&copy; x</footer>'
     assert html_extract.main_text(page) == "Head & line\nOne two three\nfour\nA <b> c"
