@@ -10,6 +10,7 @@ flagged ``rejected``.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,16 @@ DIMS = 1 << BITS
 REJECT = 0.005
 UNKNOWN = "und"
 
-_GAP = re.compile(r"[\W\d_]+")
+def _marks() -> str:
+    """Combining marks, which stand inside words but are no word characters to ``re``, as ranges."""
+    points = [i for i in range(0x300, 0xE01F0) if unicodedata.category(chr(i))[0] == "M"]
+    have = set(points)
+    starts = [i for i in points if i - 1 not in have]
+    ends = [i for i in points if i + 1 not in have]
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends, strict=True))
+
+
+_GAP = re.compile(rf"(?:[^\w{_marks()}]|[\d_])+")
 
 
 def counts(text: str):
@@ -176,7 +186,8 @@ def identify(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` and ``similarity, rejected`` of every row.
 
     Null texts and texts without a letter are ``und`` with score 0, as is
-    every text when there is nothing to learn from. Repeated ids are predicted
+    every text when there is nothing to learn from. Of languages that are
+    equally near the first by name is taken. Repeated ids are predicted
     row by row; extra columns are ignored.
     """
     out = classify(docs, train(docs, per_lang))

@@ -333,10 +333,10 @@ def _coder(model) -> PieceCoder:
 
 
 class _Shared:
-    """A broadcast with a key for the worker's cache."""
+    """A broadcast with a key for the worker's cache: a digest of all that the model says."""
 
     def __init__(self, spark, value: dict):
-        self.id, self.data = hash(tuple(p for p, *_ in value["pieces"])), spark.sparkContext.broadcast(value)
+        self.id, self.data = hashlib.sha256(repr(sorted(value.items())).encode()).hexdigest(), spark.sparkContext.broadcast(value)
 
     @property
     def value(self) -> dict:

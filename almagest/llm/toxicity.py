@@ -21,7 +21,7 @@ from .common import crc_mod, give_back, held, materialize, tidy
 
 #: Most labelled rows that training reads, chosen by a hash of their id.
 TRAIN_ROWS = 20_000
-#: Most entries of a learned word list.
+#: Most entries of the learned word lists, of which those that tell most are taken; part of the model, like the number of trees.
 LEXICON_WORDS = 4_000
 STEM, NEAR = 5, 4
 #: Second-person pronouns of English, German, French and Spanish.
@@ -54,13 +54,13 @@ def features(text: str, lex: dict[str, set[str]]) -> list[float]:
     stem_hits = [i for i, x in enumerate(w) if x[:STEM] in stems]
     you = [i for i, x in enumerate(w) if x in second]
     near = 0
-    if hits and you:
-        at, to = np.array(sorted({*hits, *stem_hits})), np.array(you)
+    both = sorted({*hits, *stem_hits})
+    if both and you:
+        at, to = np.array(both), np.array(you)
         i = np.searchsorted(to, at)
         left, right = np.abs(at - to[np.maximum(i - 1, 0)]), np.abs(to[np.minimum(i, len(to) - 1)] - at)
         near = int((np.minimum(left, right) <= NEAR).sum())
     most = 0
-    both = sorted({*hits, *stem_hits})
     for i, a in enumerate(both):  # most hits in 50 words
         j = i + most
         while j < len(both) and both[j] - a < 50:
@@ -79,8 +79,12 @@ def features(text: str, lex: dict[str, set[str]]) -> list[float]:
 
 
 def _training(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """``doc_id, text, y`` of at most ``bound`` labelled ids that are not held out; of a repeated id the least text."""
-    y = labels.where(F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    """``doc_id, text, y`` of at most ``bound`` labelled ids that are not held out; of a repeated id the least text.
+
+    Labels may be of any numeric type, boolean, or the text of a number; others count as none.
+    """
+    mark = F.col("toxic").try_cast("double") if labels.schema["toxic"].dataType.simpleString() != "boolean" else F.col("toxic").cast("double")
+    y = labels.select("doc_id", (mark > 0).cast("int").alias("y")).where(F.col("y").isNotNull() & (crc_mod(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("y").alias("y"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # bounded
 

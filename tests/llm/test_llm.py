@@ -77,6 +77,13 @@ def test_pieces_rows(spark, library):
     assert pieces.encode_texts(docs(spark, []), Q.piece_model()).count() == 0
 
 
+def test_models_have_keys_of_their_own(spark):
+    """A worker that has coded with one model codes right with one that differs in a flag only."""
+    model = pieces.load_model(Q.piece_model())
+    keys = [pieces._Shared(spark, m).id for m in (model, model | {"prefix": not model["prefix"]}, dict(model), model | {"pieces": [(p, v + 1, k) for p, v, k in model["pieces"]]})]
+    assert keys[0] == keys[2] and len(set(keys)) == 3
+
+
 # -- simhash
 
 
@@ -224,6 +231,109 @@ def test_toxicity_held_out(spark):
     assert len(empty) == 2 and all(0 <= r.score <= 1 for r in empty)
 
 
+def _plain_features(text, lex):
+    """The features, word by word."""
+    w = re.findall(r"[^\W_]+", text.lower())
+    t = text.split()
+    if not w:
+        return [0.0] * 15
+    hit, stem, you = ([x in lex["words"] for x in w], [x[:5] in lex["stems"] for x in w], [x in lex["second"] for x in w])
+    any_hit = [a or b for a, b in zip(hit, stem, strict=True)]
+    near = sum(1 for i, h in enumerate(any_hit) if h and any(you[max(0, i - 4) : i + 5]))
+    letters = sum(c.isalpha() for c in text) or 1
+    odd = [x.lower().strip(".,;:!?") for x in t if re.search(r"[0134570@$!*]", x)]
+    mixed = sum(1 for x in odd if re.search(r"[^\W\d_]", x) and re.search(r"[\d@$*]", x))
+    clear = lambda x: "".join(toxicity.LEET.get(c, c) for c in x)
+    leet = sum(1 for x in odd if x not in lex["words"] and (clear(x) in lex["words"] or clear(x)[:5] in lex["stems"] and clear(x) != x))
+    most = max(sum(any_hit[i : i + 50]) for i in range(len(w)))
+    n, k = len(w), len(t)
+    return [n, sum(hit) / n, sum(stem) / n, sum(hit), sum(stem), near / n, sum(you) / n, sum(1 for x in t if len(x) > 1 and x.isupper()) / k, sum(c.isupper() for c in text) / letters, text.count("!") / k, (len(text) - letters - sum(c.isspace() for c in text)) / len(text), leet / k, mixed / k, sum(1 for x in t if re.search(r"(\w)\1\1", x)) / k, most]
+
+
+def _plain_score(x, model):
+    raw = model["trees"]["base"]
+    for feature, cut, value in model["trees"]["trees"]:
+        node = 0
+        while feature[node] >= 0:
+            node = 2 * node + 1 + (x[feature[node]] > cut[node])
+        raw += model["trees"]["rate"] * value[node]
+    at, to = model["knots"]
+    if raw <= at[0]:
+        flat = to[0]
+    elif raw >= at[-1]:
+        flat = to[-1]
+    else:
+        i = max(j for j in range(len(at)) if at[j] <= raw)
+        flat = to[i] + (to[i + 1] - to[i]) * (raw - at[i]) / (at[i + 1] - at[i])
+    return min(1, max(0, 0.99 * flat + 0.01 / (1 + np.exp(-max(-30, min(30, raw))))))
+
+
+def test_toxicity_equals_plain_python(spark):
+    """Scores from the model's lists, trees and knots, worked out one text at a time."""
+    d = "/root/testdata/sf0.01"
+    source = spark.read.parquet(f"{d}/documents.parquet")
+    model = toxicity.train(source, spark.read.parquet(f"{d}/labels.parquet"))
+    rows = source.where("length(text) < 3000").orderBy(F.xxhash64("doc_id")).limit(150).select("doc_id", "text")
+    word, stem = sorted(model["lex"]["words"])[0], sorted(model["lex"]["stems"])[0]
+    more = [(-1, None), (-2, ""), (-3, "!!! ..."), (-4, f"you {stem}x are {word.upper()} YOU"), (-5, f"{stem}zz du"), (-6, "aaaa h3ll0 @b " + word[:1] + word[1:].replace("i", "1"))]
+    rows = spark.createDataFrame([tuple(r) for r in rows.collect()] + more, "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    for r in rows.collect():
+        assert got[r.doc_id] == pytest.approx(_plain_score(_plain_features(r.text or "", model["lex"]), model), abs=1e-9)
+    assert _plain_features(f"{stem}zz du", model["lex"])[5] > 0
+
+
+@pytest.mark.parametrize("kind", ["bigint", "boolean", "double", "string", "tinyint"])
+def test_toxicity_label_types(spark, kind):
+    rows = spark.createDataFrame([(i, f"text {i} " + ("vile slur " * 3 if i % 2 else "calm note ")) for i in range(60)], "doc_id bigint, text string")
+    labels = rows.select("doc_id", (F.col("doc_id") % 2).cast("int").cast(kind).alias("toxic")).unionByName(spark.sql(f"select 0L as doc_id, cast(null as {kind}) as toxic"))
+    assert toxicity._training(rows, labels, 100).agg(F.sum("y")).first()[0] == rows.where("doc_id % 2 = 1 and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").count()
+
+
+def test_language_equals_plain_python(spark):
+    """Similarity and language from the model's weights and centroids, gram by gram."""
+    d = "/root/testdata/sf0.01"
+    source = spark.read.parquet(f"{d}/documents.parquet")
+    model = langid.train(source)
+    rows = source.where("length(text) < 800").orderBy(F.xxhash64("doc_id")).limit(40).select("doc_id", "text").collect()
+    rows = [tuple(r) for r in rows] + [(-1, "a"), (-2, "Ünï cödé"), (-3, "हिन्दी भाषा"), (-4, None), (-5, "12 _ 3")]
+    got = {r.doc_id: r for r in langid.classify(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    mask = (1 << 64) - 1
+    import unicodedata
+
+    for i, text in rows:
+        kept = "".join(c if unicodedata.category(c)[0] == "M" or c.isalnum() and not c.isdecimal() else " " for c in (text or "").lower())
+        s = " ".join(kept.split())
+        if not any(c.isalpha() for c in s):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        p = [ord(c) for c in f" {s} "]
+        grams = [c for c in p if c != 32]
+        pairs = [(p[j] * 0x110003 + p[j + 1]) & mask for j in range(len(p) - 1)]
+        grams += [(x + (1 << 62)) & mask for x in pairs]
+        grams += [(pairs[j] * 0x110003 + p[j + 2] + (1 << 61)) & mask for j in range(len(p) - 2) if p[j + 1] != 32]
+        v = {}
+        for g in grams:
+            k = (g * 0x9E3779B97F4A7C15 & mask) >> (64 - langid.BITS)
+            v[k] = v.get(k, 0) + 1
+        v = {k: np.log1p(n) * model["idf"][k] for k, n in v.items()}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        best = {}
+        for c, of in zip(model["centroids"], model["of"], strict=True):
+            best[of] = max(best.get(of, -1), sum(x * c[k] for k, x in v.items()) / size)
+        top = max(best.values())
+        assert got[i].similarity == pytest.approx(top, abs=1e-4) and best[model["langs"].index(got[i].lang_pred)] == pytest.approx(top, abs=1e-4)
+        assert got[i].score == pytest.approx(1 / sum(np.exp(20 * (b - top)) for b in best.values()), abs=1e-3)
+
+
+def test_language_ties_and_marks(spark):
+    """Of two languages with the same centroid the first by name; marks stay inside words."""
+    one = langid.train(docs(spark, []))
+    assert one["langs"] == [] and langid._GAP.sub("|", "हिन्दी ไม้ a1_b") == "हिन्दी|ไม้|a|b"
+    rows = spark.createDataFrame([(i, "same words here", "ab"[i % 2]) for i in range(80)], "doc_id bigint, text string, lang string")
+    assert {r.lang_pred for r in langid.identify(rows).collect()} == {"a"}
+
+
 def test_language_held_out(spark):
     d = "/root/testdata/sf0.01"
     out = Q.op6_language_id(spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id")
