@@ -172,6 +172,34 @@ def test_exact_equals_brute_force(spark, digest, limit):
     assert exact_dedup.exact_duplicates(docs(spark, [])).count() == 0
 
 
+def test_exact_index_over_several_tables(spark):
+    """Level 1 takes up new runs; a lookup finds what is there and nothing else; runs are in digest order."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    index = exact_dedup.MergeIndex(spark, memtable_bytes=2000)
+    sha = lambda t: hashlib.sha256(t.encode()).digest()
+    index.ingest(spark.range(300).selectExpr("id + 10 as doc_id", "concat('t', id % 100) as text").repartition(3))
+    first = {bytes(r.digest): (r.keep_id, r.group_size) for r in index.compact().collect()}
+    assert len(first) == 100 and first[sha("t0")] == (10, 3)
+    for path in glob.glob(index.runs[0].removeprefix("file://") + "/*.parquet"):
+        got = pq.read_table(path, columns=["digest"]).column(0).to_pylist()
+        assert got == sorted(got)
+    index.ingest(spark.createDataFrame([(1, "t 0"), (2, "new"), (None, "t0"), (99, None)], "doc_id bigint, text string"))
+    got = {bytes(r.digest): (r.keep_id, r.group_size) for r in index.lookup([sha("t0"), sha("t1"), sha("new"), sha(""), sha("absent")]).collect()}
+    assert got == {sha("t0"): (1, 5), sha("t1"): (11, 3), sha("new"): (2, 1), sha(""): (99, 1)}
+    assert index.compact().count() == 102
+    with pytest.raises(ValueError, match="ids are bigint"):
+        index.ingest(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_exact_keeps_to_its_columns(spark):
+    """Columns with names of its own do not disturb it."""
+    got = exact_dedup.exact_duplicates(docs(spark, ["a", "a ", "b"], extra=True).withColumns({"variant": F.lit(3), "keep_id": F.lit(9), "rid": F.lit("r")}))
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()) == [(0, 1, 2, False), (1, 1, 2, True), (2, 2, 1, True)]
+
+
 def test_exact_repeated_rows_keep_one(spark):
     df = spark.createDataFrame([(7, "x"), (7, "x"), (None, "x "), (None, None)], "doc_id bigint, text string")
     got = exact_dedup.exact_duplicates(df).collect()
