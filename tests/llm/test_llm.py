@@ -237,6 +237,19 @@ def test_winnowing_equals_brute_force(spark, monkeypatch):
     assert again == got
 
 
+def test_decontamination_of_repeated_rows_and_shared_items(spark):
+    """Each of equal rows has its result; a passage of thousands of items is looked up once; long texts and ties."""
+    passage = " ".join(f"w{i}" for i in range(40))
+    bench = spark.range(3000).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit(passage).alias("text"))
+    rows = [(1, passage)] * 25 + [(1, passage + " end")] * 2 + [(None, passage)] * 3 + [(2, None)] * 4 + [(3, "clean text " * 100_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    got = winnow.decontaminate(df, bench).groupBy("doc_id", "n_words", "n_hit", "n_items", "contaminated", "items_sha256").count().collect()
+    want = hashlib.sha256(",".join(sorted(f"i{i}" for i in range(3000))).encode()).hexdigest()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated, r["count"]) for r in got) == [(0, 40, 40, 3000, True, 3), (1, 40, 40, 3000, True, 25), (1, 41, 40, 3000, True, 2), (2, 0, 0, 0, False, 4), (3, 200_000, 0, 0, False, 1)]
+    assert {r.items_sha256 for r in got if r.n_hit} == {want}
+    assert winnow._repeated(spark.createDataFrame([(25_000,), (1,), (10_000,)], "n bigint"), "n").groupBy("n").count().orderBy("n").collect() == [(1, 1), (10_000, 10_000), (25_000, 25_000)]
+
+
 # -- toxicity, languages
 
 
