@@ -120,7 +120,10 @@ def test_simhash_equals_brute_force(spark):
     assert {i: r.component_id for i, r in got.items()} == want
 
 
-def test_links_lose_nothing(spark):
+@pytest.mark.parametrize("cut,crowd", [(simhash.CUTS[0], 4096), (simhash.CUTS[1], 4096), (simhash.CUTS[0], 2)])
+def test_links_lose_nothing(spark, monkeypatch, cut, crowd):
+    """By both cuts, and with full segment values dealt to several tasks."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rng = random.Random(3)
     fps = {rng.getrandbits(64) for _ in range(60)}
     for f in list(fps)[:20]:
@@ -130,7 +133,8 @@ def test_links_lose_nothing(spark):
     nodes = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp bigint, low bigint")
     first = simhash._neighbours(nodes, 0, 4).union(simhash._neighbours(nodes, 21, 4)).union(simhash._neighbours(nodes, 42, 4))
     fam = components.components(first)
-    got = components.components(simhash.links(nodes, fam).union(fam.where("node <> root").select("node", "root"))).collect()
+    found = simhash.links(nodes, fam, cut=cut)
+    got = components.components(found.union(fam.where("node <> root").select("node", "root"))).collect()
     mask = (1 << 64) - 1
     want = _classes({f: f & mask for f in signed})
     roots = {r.node: r.root for r in got}
@@ -144,6 +148,23 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_cut_follows_the_number_of_fingerprints():
+    """Ten times the fingerprints is ten times the work, give or take a third, up to a hundred billion."""
+    work = lambda n: n * sum(len(simhash._ball(b, r)) * (1 + n / (1 << b)) for _, b, r in simhash.plan(n))
+    assert simhash.plan(10**6) == simhash.CUTS[0] and simhash.plan(10**9) == simhash.CUTS[1]
+    assert all(sum(r for *_, r in c) == simhash.MAX_BITS - len(c) + 1 and sum(b for _, b, _ in c) == 64 for c in simhash.CUTS)
+    assert work(10**9) / work(10**8) < 13 and [len(simhash._ball(b, r)) for _, b, r in simhash.CUTS[1]] == [529, 33]
+
+
+def test_components_of_a_hub(spark, monkeypatch):
+    """A node whose links are met by broadcast gives the same components."""
+    edges = spark.range(1, 400).select(F.lit(400).cast("bigint").alias("a"), F.col("id").alias("b")).union(spark.range(500, 520).select("id", F.col("id") + 1))
+    want = sorted(map(tuple, components.components(edges).collect()))
+    monkeypatch.setattr(components, "HUB_LINKS", 50)
+    monkeypatch.setattr(components, "HUBS", 10)
+    assert sorted(map(tuple, components.components(edges).collect())) == want and len(want) == 421
+
+
 def test_components_of_a_chain(spark):
     got = components.components(spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))).collect()
     assert {r.node for r in got} == set(range(41)) and {r.root for r in got} == {0}
