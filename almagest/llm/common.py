@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import functools
 import shutil
@@ -59,10 +60,31 @@ def _hadoop(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+#: Scratch folders of this process, in the order in which they were written.
+_MADE: list[str] = []
+
+
 def forget_at_end(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder when the JVM ends."""
     p, fs = _hadoop(spark, path)
     fs.deleteOnExit(p)
+    _MADE.append(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete the scratch folders that are written inside, but those of the frames put into the list."""
+    keep: list[DataFrame] = []
+    start = len(_MADE)
+    try:
+        yield keep
+    finally:
+        kept = {df._scratch for df in keep}
+        for path in _MADE[start:]:
+            if path not in kept:
+                p, fs = _hadoop(spark, path)
+                fs.delete(p, True)
+        _MADE[start:] = [path for path in _MADE[start:] if path in kept]
 
 
 def discard(df: DataFrame) -> None:

@@ -599,7 +599,7 @@ def test_pipeline_stages_on_rows_without_ids(spark):
     df = spark.createDataFrame([(i, t, "en", None, None, 1, "x") for i, t in rows], DOCS + ", _al_lines int, _al_key string")
     near = corpus_pipeline.drop_near_copies(spark, df, SF)
     assert near.columns == df.columns
-    assert sorted([(r.doc_id or 0, (r.text or "")[:5]) for r in near.collect()]) == [(0, "only "), (0, "only "), (3, item[:5]), (4, ""), (7, "word0")]
+    assert sorted([(r.doc_id or 0, (r.text or "")[:5]) for r in near.collect()]) == [(0, "only "), (3, item[:5]), (4, ""), (7, "word0")]
     clean = corpus_pipeline.drop_contaminated(spark, df, SF)
     assert clean.columns == df.columns and clean.count() == 7 and item not in {r.text for r in clean.collect()}
     cut = corpus_pipeline.cut_boilerplate(spark, df, SF)
@@ -617,6 +617,33 @@ def test_pipeline_stages_on_repeated_ids(spark):
     assert sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, df, SF).collect()) == [(1, x), (1, x), (2, y)]
 
 
+def test_toxicity_stage_and_encoding_stage_on_odd_rows(spark, library):
+    """Null, empty, repeated and clashing rows: each is judged by its own text, and nothing else of it changes."""
+    d = "/root/testdata/sf0.01"
+    source = spark.read.parquet(f"{d}/documents.parquet")
+    marked = source.join(spark.read.parquet(f"{d}/labels.parquet").where("toxic = 1"), "doc_id", "left_semi").limit(3).select("text").collect()
+    odd = spark.createDataFrame([(-1, None), (-1, ""), (-1, marked[0].text), (None, None), (None, marked[1].text), (-2, "a calm note"), (-2, "a calm note")], "doc_id bigint, text string")
+    whole = source.select("doc_id", "text", "lang", "source", "n_chars").unionByName(odd.selectExpr("*", "'en' as lang", "cast(null as string) as source", "0L as n_chars")).withColumns({"score": F.lit("s"), "_al_key": F.lit(1), "y": F.lit(2)})
+    left = corpus_pipeline.reject_toxic(spark, whole, d)
+    assert left.columns == whole.columns
+    got = left.where("doc_id < 0 or doc_id is null").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(-2, "a calm note")] * 2 + [(-1, "")] * 2 + [(0, "")] and {(r.score, r._al_key, r.y) for r in got} == {("s", 1, 2)}
+    coded = corpus_pipeline.encode(spark, whole.where("doc_id < 0 or doc_id is null").withColumn("ids", F.lit(0)), d).collect()
+    assert sorted(r.ids for r in coded) == sorted(library.encode(r.text or "") for r in odd.collect())
+
+
+def test_run_leaves_its_result_only(spark, tmp_path):
+    """Every folder that the stages wrote is gone, but the last; frames that are kept survive."""
+    from almagest.llm import common
+
+    start = len(common._MADE)
+    out = corpus_pipeline.run(spark, SF)
+    assert [p for p in common._MADE[start:] if common._hadoop(spark, p)[1].exists(common._hadoop(spark, p)[0])] == [out._scratch]
+    assert out.count() > 0
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(type("S", (), {"conf": type("C", (), {"get": staticmethod(lambda *a: None)}), "sparkContext": type("X", (), {"master": "spark://h:7077"})}))
+
+
 def test_pipeline_stages_on_empty_table(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
