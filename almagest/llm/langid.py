@@ -40,14 +40,27 @@ def _marks() -> str:
     return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends, strict=True))
 
 
+_MARK = re.compile(f"[{_marks()}]")
 _GAP = re.compile(rf"(?:[^\w{_marks()}]|[\d_])+")
+_PLAIN_GAP = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """Lower-case words with one space between them; the quicker pattern serves texts without marks."""
+    low = text.lower()
+    try:
+        low.encode("latin-1")  # has no marks
+        marked = None
+    except UnicodeEncodeError:
+        marked = _MARK.search(low)
+    return (_GAP if marked else _PLAIN_GAP).sub(" ", low).strip()
 
 
 def counts(text: str):
     """Hashed n-gram counts of a text, or None if it has no letter."""
     import numpy as np
 
-    folded = _GAP.sub(" ", text.lower()).strip()
+    folded = letters(text)
     if not folded or not any(map(str.isalpha, folded)):
         return None
     c = np.frombuffer(f" {folded} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
