@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 UNIT = "\u001f"
 #: Spellings of "no code".
 PLACEHOLDERS = ("0", "-1", "N/A", "NA", "NULL", "NO DEFINIDO", "NO APLICA")
-#: Latin letters with marks and the letters without.
-MARKED, PLAIN = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇáàâäãåéèêëíìîïóòôöõúùûüñç", "AAAAAAEEEEIIIIOOOOOUUUUNCaaaaaaeeeeiiiiooooouuuunc"
 MONEY = "decimal(20,2)"
+#: White space of Unicode, of which Java's \\s knows the ASCII part.
+SPACE = r"[\s\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_NORMALIZER = "com.ibm.icu.text.Normalizer"
+
+
+def _normal(c: Column, method: str, compatible: bool) -> Column:
+    """A Unicode normal form by the ICU that Spark brings; plain ASCII is left as it is."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.reflect(F.lit(_NORMALIZER), F.lit(method), c, F.lit(compatible))).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
-    """Runs of white space as one space, trimmed; blank is null."""
-    return F.nullif(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
+    """NFC, runs of white space as one space, trimmed; blank is null."""
+    return F.nullif(F.trim(F.regexp_replace(_normal(c, "compose", False), SPACE, " ")), F.lit(""))
 
 
 def canonical_text(c: Column) -> Column:
@@ -28,8 +34,8 @@ def canonical_text(c: Column) -> Column:
 
 
 def territory_key(c: Column) -> Column:
-    """Upper case without marks, for names that are compared."""
-    return F.upper(F.translate(clean_text(c), MARKED, PLAIN))
+    """Upper case, compatibility forms taken apart, without marks; for names that are compared."""
+    return F.upper(F.regexp_replace(_normal(clean_text(c), "decompose", True), r"\p{M}+", ""))
 
 
 def identity(raw: Column, legacy: Column | None = None) -> Column:
@@ -53,8 +59,8 @@ def amount(raw: Column) -> Column:
 
 
 def strict_timestamp(raw: Column) -> Column:
-    t = F.trim(raw)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"), t.try_cast("timestamp_ntz"))
+    """A source time of the one accepted shape, with exactly three decimals and nothing around it; else null."""
+    return F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"), raw.try_cast("timestamp_ntz"))
 
 
 def business_date(raw: Column, midnight_only: bool = False) -> Column:
@@ -86,8 +92,8 @@ def natural_key(dataset: str, role: str, code: Column) -> Column:
 
 
 def surrogate(namespace: str, key: Column) -> Column:
-    """md5 of a versioned namespace and a natural key; null keys go to UNKNOWN."""
-    return F.md5(F.concat(F.lit(namespace + UNIT), F.coalesce(key, F.lit("UNKNOWN"))))
+    """md5 of a versioned namespace and a natural key; the null key has a namespace of its own, so no spelling meets it."""
+    return F.md5(F.coalesce(F.concat(F.lit(namespace + UNIT), key), F.lit(namespace + "/unknown")))
 
 
 def cell(c: Column) -> Column:

@@ -12,13 +12,16 @@ LEVELS = (6, 3, 0)
 
 
 def multiset_digest(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows, digest``: a tree of hashes over the sorted row hashes.
+    """``rows, digest``: a tree of hashes over the sorted row hashes and how often each occurs.
 
-    Row hashes are sorted and hashed within 16 million buckets, those within
-    4096, and those into one; no task sorts a list that grows with the table
-    by more than its share of a bucket. An empty table has the empty digest.
+    Equal rows are counted first, so a row that occurs a billion times is one
+    entry. Row hashes are sorted and hashed within 16 million buckets, those
+    within 4096, and those into one; no task sorts a list that grows with the
+    table by more than its share of a bucket. An empty table has the empty
+    digest.
     """
-    now = df.select(C.row_digest([F.col(c) for c in columns]).alias("d"), F.lit(1).cast("bigint").alias("n")).withColumn("b", F.substring("d", 1, LEVELS[0]))
+    now = df.groupBy(C.row_digest([F.col(c) for c in columns]).alias("h")).agg(F.count("*").alias("n"))
+    now = now.select(F.concat("h", F.lit("x"), F.col("n").cast("string"), F.lit(";")).alias("d"), "n", F.substring("h", 1, LEVELS[0]).alias("b"))
     for level in LEVELS:
         hashed = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda x: F.concat(x["b"], x["d"])), ""), 256)
         if level == 0:

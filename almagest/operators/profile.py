@@ -11,13 +11,18 @@ from almagest.functions import columns as C
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, present, nulls, null_rate, distinct_values, low, high`` from one aggregation."""
-    agg = []
-    for c in columns:
-        v = F.col(c).cast("string")
-        agg.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("present"), F.count_if(F.col(c).isNull()).alias("nulls"), F.countDistinct(c).alias("distinct_values"), F.min(v).alias("low"), F.max(v).alias("high")))
-    one = df.agg(F.array(*agg).alias("p"))
-    return one.select(F.explode("p").alias("p")).select("p.*", F.round(F.coalesce(C.ratio(F.col("p.nulls"), F.col("p.nulls") + F.col("p.present")), F.lit(0.0)), 12).alias("null_rate"))
+    """``column, present, nulls, null_rate, distinct_values, low, high``; a row for each column also of an empty table.
+
+    Cells are counted by column and value first, so no row is multiplied by
+    the number of distinct counts and a frequent value is one row.
+    """
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])).alias("x")).select("x.*")
+    counts = cells.groupBy("i", "v").agg(F.count("*").alias("n"))
+    per = counts.groupBy("i").agg(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("present"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("nulls"), F.count("v").alias("distinct_values"), F.min("v").alias("low"), F.max("v").alias("high"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "i int, column string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    out = names.join(per, "i", "left").select("column", zero("present"), zero("nulls"), zero("distinct_values"), "low", "high")
+    return out.withColumn("null_rate", F.round(F.coalesce(C.ratio(F.col("nulls"), F.col("nulls") + F.col("present")), F.lit(0.0)), 12))
 
 
 def observed_types(df: DataFrame, column: str) -> DataFrame:
@@ -29,7 +34,8 @@ def observed_types(df: DataFrame, column: str) -> DataFrame:
 
 def identity_coverage(df: DataFrame, role: str) -> DataFrame:
     """Rows and value by status and reason, and codes with several labels."""
-    named = df.groupBy(f"{role}_status", f"{role}_reason", f"{role}_code").agg(F.count("*").alias("n"), F.sum("value").alias("v"), F.countDistinct(C.clean_text(F.col(f"{role}_name"))).alias("labels"))
+    labelled = df.select(f"{role}_status", f"{role}_reason", f"{role}_code", "value", C.clean_text(F.col(f"{role}_name")).alias("label"))
+    named = labelled.groupBy(f"{role}_status", f"{role}_reason", f"{role}_code").agg(F.count("*").alias("n"), F.sum("value").alias("v"), F.countDistinct("label").alias("labels"))
     return named.groupBy(F.col(f"{role}_status").alias("status"), F.col(f"{role}_reason").alias("reason")).agg(F.sum("n").alias("rows"), F.sum("v").cast("decimal(38,2)").alias("value"), F.count_if((F.col("labels") > 1) & F.col(f"{role}_code").isNotNull()).alias("codes_with_variants"))
 
 
@@ -42,7 +48,10 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def unique_sets(df: DataFrame, columns: list[str], most: int = 3) -> DataFrame:
-    """Column sets of up to ``most`` columns and whether they are unique: one aggregation of struct counts."""
-    sets = [s for k in range(1, most + 1) for s in itertools.combinations(columns, k)]
-    one = df.agg(F.count("*").alias("n"), F.array(*[F.struct(F.lit("+".join(s)).alias("columns"), F.countDistinct(F.struct(*s)).alias("distinct_rows")) for s in sets]).alias("s"))
-    return one.select("n", F.explode("s").alias("s")).select("s.*", (F.col("s.distinct_rows") == F.col("n")).alias("is_unique"))
+    """Column sets of up to ``most`` columns and whether they are unique: each is grouped by itself, with counts combined before the shuffle."""
+    total = df.agg(F.count("*").alias("n"))
+    out = None
+    for s in (s for k in range(1, most + 1) for s in itertools.combinations(columns, k)):
+        one = df.groupBy(*s).agg(F.lit(1)).agg(F.count("*").alias("distinct_rows")).select(F.lit("+".join(s)).alias("columns"), "distinct_rows")
+        out = one if out is None else out.unionByName(one)
+    return out.crossJoin(F.broadcast(total)).select("columns", "distinct_rows", (F.col("distinct_rows") == F.col("n")).alias("is_unique"))  # one row

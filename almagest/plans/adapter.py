@@ -9,6 +9,12 @@ from almagest.functions import columns as C
 from almagest.operators import silver, star
 
 
+#: Codes and places as the source writes them; the same text is SQL for both engines.
+ENTITY_RAW = "case when o_custkey % 41 = 0 then null when o_custkey % 43 = 0 then ' n/a ' when o_custkey % 47 = 0 then concat('X', cast(o_custkey as varchar(20))) else cast(o_custkey as varchar(20)) end"
+SUPPLIER_RAW = "case when (l_suppkey + l_orderkey) % 37 = 0 then '  ' when l_orderkey % 31 = 0 then '0' when l_orderkey % 29 = 0 then concat(cast(l_suppkey as varchar(20)), '-9') else cast(l_suppkey as varchar(20)) end"
+PLACE_RAW = "case when l_orderkey % 23 = 0 then null when l_orderkey % 19 = 0 then 'Unknown' else municipality end"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,12 +41,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", F.col("n_name").alias("municipality"), F.col("r_name").alias("department"))
     rows = rows.join(cust.select("c_custkey", F.col("c_name").alias("entity_name"), "c_nationkey"), rows.o_custkey == F.col("c_custkey"), "left").join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(supp.select("s_suppkey", F.col("s_name").alias("supplier_name")), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     source = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    e, s = C.identity(F.col("o_custkey").cast("string")), C.identity(F.col("l_suppkey").cast("string"))
+    # by key rules some codes are missing, placeholders or no codes, and some places are missing or named "Unknown"
+    ec, sc = F.expr(ENTITY_RAW), F.expr(SUPPLIER_RAW)
+    e, s = C.identity(ec), C.identity(sc)
     return rows.select(
         source.alias("source_id_raw"), C.contract_key("driver", source).alias("contract_key"), "payload_sha256",
-        F.col("o_custkey").cast("string").alias("entity_code_raw"), e["code"].alias("entity_code"), e["status"].alias("entity_status"), e["reason"].alias("entity_reason"), "entity_name",
-        F.col("l_suppkey").cast("string").alias("supplier_code_raw"), s["code"].alias("supplier_code"), s["status"].alias("supplier_status"), s["reason"].alias("supplier_reason"), "supplier_name",
-        "municipality", "department", F.col("o_orderpriority").alias("modality"), F.when(F.col("l_orderkey") % 17 != 0, F.col("o_orderstatus")).alias("status"),
+        ec.alias("entity_code_raw"), e["code"].alias("entity_code"), e["status"].alias("entity_status"), e["reason"].alias("entity_reason"), "entity_name",
+        sc.alias("supplier_code_raw"), s["code"].alias("supplier_code"), s["status"].alias("supplier_status"), s["reason"].alias("supplier_reason"), "supplier_name",
+        F.expr(PLACE_RAW).alias("municipality"), "department", F.col("o_orderpriority").alias("modality"), F.when(F.col("l_orderkey") % 17 != 0, F.col("o_orderstatus")).alias("status"),
         "signing_date", "end_date", "value", F.col("end_date").alias("source_updated_at"), F.col("signing_date").alias("fetched_at"),
     )
 

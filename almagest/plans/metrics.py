@@ -66,48 +66,57 @@ class Filters:
 NONE = Filters()
 
 
-def _measures(values: bool = True) -> list:
-    out = [F.count("*").alias("contract_count"), F.coalesce(F.sum("value"), F.lit(0).cast("decimal(20,2)")).cast("decimal(38,2)").alias("total_value"), F.count_if(F.col("signing_date").isNull()).alias("missing_signing"), F.count_if(F.col("supplier_natural").isNull()).alias("unknown_supplier")]
-    return out + ([F.array_sort(F.collect_list("value")).alias("_v")] if values else [])
+def _measures() -> list:
+    return [F.count("*").alias("contract_count"), F.coalesce(F.sum("value"), F.lit(0).cast("decimal(20,2)")).cast("decimal(38,2)").alias("total_value"), F.count_if(F.col("signing_date").isNull()).alias("missing_signing"), F.count_if(F.col("supplier_natural").isNull()).alias("unknown_supplier")]
 
 
-def _quantiles(df: DataFrame) -> DataFrame:
-    return df.withColumns({"p25": C.exact_quantile(F.col("_v"), 1, 4), "median": C.exact_quantile(F.col("_v"), 1, 2), "p75": C.exact_quantile(F.col("_v"), 3, 4), "quantile_state": C.quantile_state(F.col("contract_count"), F.col("_v"))}).drop("_v")
+_QUANTILE_STATE = lambda: F.when(F.col("contract_count") == 0, "NO_CONTRACTS").when(F.col("median").isNull(), "NO_NON_NULL_VALUES").otherwise("AVAILABLE")
+STORED = ["entity_key", "municipality_key", "modality_key", "signing_month", "status_bucket"]
 
 
 def overview(detail: DataFrame, f: Filters = NONE, stored: bool = False) -> DataFrame:
-    """Counts, exact totals and quantiles; pooled in one row, or at the stored grain.
-
-    Pooled values are sorted by a distributed sort, not gathered: only the
-    rows at the asked-for ranks are looked at.
-    """
+    """Counts, exact totals and quantiles; pooled in one row, or at the stored grain."""
     rows = f.selected(detail)
     if stored:
-        return _quantiles(rows.groupBy("entity_key", "municipality_key", "modality_key", "signing_month", "status_bucket").agg(*_measures()))
-    # values and how often each occurs; their running count gives the ranks
-    total = rows.agg(*_measures(False))
-    return total.crossJoin(pooled_quantiles(rows)).withColumn("quantile_state", F.when(F.col("contract_count") == 0, "NO_CONTRACTS").when(F.col("median").isNull(), "NO_NON_NULL_VALUES").otherwise("AVAILABLE"))
+        return _with_quantiles(rows.groupBy(*STORED).agg(*_measures()), rows, STORED)
+    return rows.agg(*_measures()).crossJoin(quantiles(rows)).withColumn("quantile_state", _QUANTILE_STATE())  # one row each
+
+
+def _with_quantiles(groups: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``groups`` with the quartiles of their rows; a null key is a value like any other."""
+    found = quantiles(rows, keys).withColumn("_g", F.struct(*keys)).drop(*keys)
+    return groups.withColumn("_g", F.struct(*keys)).join(found, "_g", "left").drop("_g").withColumn("quantile_state", _QUANTILE_STATE())
+
+
+#: Ranges that all values are cut into; a power of two.
+RANGES = 1024
 
 
-def pooled_quantiles(rows: DataFrame, value: str = "value") -> DataFrame:
-    """Exact quartiles of all rows in one row, without one task that holds all values.
+def quantiles(rows: DataFrame, keys: list[str] | None = None, value: str = "value") -> DataFrame:
+    """Exact quartiles of each group in one row, or of all rows, without a task that holds all values of a group.
 
-    Values are counted, then cut by magnitude into 4096 ranges whose counts are
-    summed in one small table; only the ranges that hold a wanted rank are
-    looked into.
+    Values are counted, and cut into ranges at quantiles of a sketch, so a
+    range holds its share of the values however skewed they are. The counts of
+    a group's ranges are summed in a table of ``RANGES`` rows a group at most;
+    only the ranges that hold a wanted rank are sorted.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    ends = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("all"))
-    part = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(F.lit(4095), F.floor((F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double") * 4096))).cast("int")
-    placed = counts.crossJoin(F.broadcast(ends)).withColumn("part", part)  # one row
     from pyspark.sql import Window
 
-    ranges = placed.groupBy("part").agg(F.sum("n").alias("m"))  # 4096 rows at most
-    ranges = ranges.withColumn("before", F.sum("m").over(Window.orderBy("part")) - F.col("m"))
-    ranked = placed.join(F.broadcast(ranges), "part")
+    keys = keys or []
+    group = F.struct(F.lit(0).alias("all_rows"), *keys)
+    counts = rows.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    cuts = counts.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("_cuts"))  # one row
+    # binary search: the number of cuts below the value
+    steps = ",".join(str(RANGES >> i) for i in range(1, RANGES.bit_length()))
+    part = F.expr(f"aggregate(array({steps}), 0, (at, step) -> if(_cuts[at + step - 1] < v, at + step, at))")
+    placed = counts.crossJoin(F.broadcast(cuts)).withColumn("part", part).drop("_cuts")
+    ranges = placed.groupBy("_g", "part").agg(F.sum("n").alias("m"))
+    by_part = Window.partitionBy("_g").orderBy("part")
+    ranges = ranges.withColumn("before", F.sum("m").over(by_part) - F.col("m")).withColumn("all", F.sum("m").over(Window.partitionBy("_g")))
     wanted = F.array(*[F.floor((F.col("all") - 1) * p / 4).cast("bigint") for p in (1, 2, 3)], *[F.ceil((F.col("all") - 1) * p / 4).cast("bigint") for p in (1, 2, 3)])
-    ranked = ranked.where(F.exists(wanted, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("m"))))
-    run = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    ranges = ranges.where(F.exists(wanted, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("m")))).drop("m")
+    ranked = placed.join(ranges, ["_g", "part"])
+    run = F.sum("n").over(Window.partitionBy("_g", "part").orderBy("v"))
     ranked = ranked.withColumn("to", F.col("before") + run).withColumn("from", F.col("to") - F.col("n"))
 
     def at(p: int):
@@ -118,16 +127,17 @@ def pooled_quantiles(rows: DataFrame, value: str = "value") -> DataFrame:
         rest = F.max((h % 4).cast("decimal(10,0)"))
         return (a + ((b - a) * rest / F.lit(4).cast("decimal(10,0)")).cast("decimal(24,4)")).cast("decimal(24,4)")
 
-    return ranked.agg(at(1).alias("p25"), at(2).alias("median"), at(3).alias("p75"))
+    out = [at(1).alias("p25"), at(2).alias("median"), at(3).alias("p75")]
+    return ranked.groupBy("_g").agg(*out).select(*[F.col(f"_g.{k}").alias(k) for k in keys], "p25", "median", "p75") if keys else ranked.agg(*out)
 
 
 def entity_monthly(detail: DataFrame, f: Filters = NONE) -> DataFrame:
     """Per entity and month, with the contracts of each status as a sorted map."""
     rows = f.selected(detail)
     keys = ["entity_key", "signing_month"]
-    by = rows.groupBy(*keys, "status_bucket").agg(F.count("*").alias("n"), F.sum("value").alias("v"), F.collect_list("value").alias("vs"))
-    out = by.groupBy(*keys).agg(F.sum("n").alias("contract_count"), F.coalesce(F.sum("v"), F.lit(0)).cast("decimal(38,2)").alias("total_value"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("status_bucket", "n")))).alias("statuses"), F.array_sort(F.flatten(F.collect_list("vs"))).alias("_v"))
-    return _quantiles(out)
+    by = rows.groupBy(*keys, "status_bucket").agg(F.count("*").alias("n"), F.sum("value").alias("v"))
+    out = by.groupBy(*keys).agg(F.sum("n").alias("contract_count"), F.coalesce(F.sum("v"), F.lit(0)).cast("decimal(38,2)").alias("total_value"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("status_bucket", "n")))).alias("statuses"))
+    return _with_quantiles(out, rows, keys)
 
 
 def shares(detail: DataFrame, f: Filters = NONE) -> DataFrame:
@@ -143,12 +153,12 @@ def concentration(detail: DataFrame, f: Filters = NONE, monthly: bool = False, m
     ref = f.reference(detail)
     known = F.col("supplier_natural").isNotNull()
     chosen = F.col("supplier_key") == F.lit(f.selected_supplier) if f.selected_supplier else F.lit(True)
-    by = ref.groupBy(*grain, "supplier_key").agg(F.max(known).alias("known"), F.max(F.col("entity_natural").isNotNull()).alias("entity_known"), F.count("*").alias("n"), F.sum("value").cast("decimal(28,2)").alias("v"), F.max(chosen).alias("chosen"))
+    by = ref.groupBy(*grain, "supplier_key").agg(F.max(known).alias("known"), F.max(F.col("entity_natural").isNotNull()).alias("entity_known"), F.count("*").alias("n"), F.sum("value").cast("decimal(38,2)").alias("v"), F.max(chosen).alias("chosen"))
     kv, kn = F.when(F.col("known"), F.col("v")), F.when(F.col("known"), F.col("n"))
     g = by.groupBy(*grain).agg(
         F.max("entity_known").alias("entity_known"), F.sum("n").alias("contract_count"), F.sum("v").cast("decimal(38,2)").alias("total_value"),
         F.coalesce(F.sum(kn), F.lit(0)).alias("known_count"), F.coalesce(F.sum(kv), F.lit(0)).cast("decimal(38,2)").alias("known_value"),
-        F.sum((kv.cast("decimal(19,2)") * kv.cast("decimal(19,2)")).cast("decimal(38,4)")).alias("_squares"),
+        F.sum(kv.cast("double") * kv.cast("double")).alias("_squares"),  # doubles take the square of any sum; the ratio is rounded far above their error
         F.coalesce(F.sum(F.when(F.col("chosen"), F.col("n"))), F.lit(0)).alias("selected_contract_count"),
         F.sum(F.when(F.col("chosen") & F.col("known"), F.col("v"))).cast("decimal(38,2)").alias("_chosen"),
     )
@@ -159,7 +169,7 @@ def concentration(detail: DataFrame, f: Filters = NONE, monthly: bool = False, m
         .when(F.col("known_count") == 0, "NO_KNOWN_SUPPLIERS").when(F.col("total_value") == 0, "ZERO_TOTAL_VALUE").when(F.col("known_value") == 0, "ZERO_KNOWN_VALUE")
         .when((cov_n < F.lit(min_count or 0.0)) | (cov_v < F.lit(min_value or 0.0)), "INSUFFICIENT_IDENTITY_COVERAGE").otherwise("AVAILABLE")
     )
-    hhi = F.round(F.col("_squares").cast("double") / F.nullif(F.col("known_value").cast("double") * F.col("known_value").cast("double"), F.lit(0.0)), 10)
+    hhi = F.round(F.col("_squares") / F.nullif(F.col("known_value").cast("double") * F.col("known_value").cast("double"), F.lit(0.0)), 10)
     share_state = F.when(F.col("known_count") == 0, "NO_KNOWN_SUPPLIERS").when(F.col("known_value") == 0, "ZERO_KNOWN_VALUE").when(F.lit(f.selected_supplier is None) | F.col("_chosen").isNull(), "NO_SELECTED_KNOWN_SUPPLIER").otherwise("AVAILABLE")
     out = g.withColumns({"hhi_state": state, "share_state": share_state, "count_coverage": F.round(cov_n, 10), "value_coverage": F.round(cov_v, 10)})
     return out.withColumns({"hhi": F.when(F.col("hhi_state") == "AVAILABLE", hhi), "selected_share": F.when(F.col("share_state") == "AVAILABLE", F.round(C.ratio(F.col("_chosen"), F.col("known_value")), 10))}).drop("_squares", "_chosen", "entity_known")

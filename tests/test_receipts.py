@@ -21,12 +21,13 @@ def test_controls_of_receipts(spark):
 
 
 def test_presentation(spark):
-    rows = [(["AMOUNT_NULL", "X"], "LATER_INVALID_OBSERVED", 2, 0, [("LATER", ["DATE_INVALID"]), ("ODD", [])], "MISSING_CODE"), ([], "LEGACY_UNASSESSED", None, None, [], None), (None, None, None, None, None, None)]
-    df = spark.createDataFrame(rows, "w array<string>, s string, l bigint, e bigint, k array<struct<temporal_relation:string,rejection_codes:array<string>>>, r string")
-    got = df.select(P.warnings_text(F.col("w")), P.condition_text(F.col("s"), F.col("l"), F.col("e")), P.evidence_text(F.col("k")), P.identity_reason(F.col("r"), F.lit("KNOWN"))).collect()
-    assert tuple(got[0]) == ("Valor ausente; Código publicado: X", "Inválidas posteriores: 2; mismo instante: 0", "Posterior; Fecha inválida\nRelación publicada: ODD; ", "Código ausente")
-    assert tuple(got[1]) == ("Sin advertencias publicadas", "Condición histórica sin evaluar; conteos no disponibles", "Sin rechazos atribuibles publicados", "Identidad conocida")
-    assert tuple(got[2])[:3] == ("Advertencias no evaluadas", "Conteos de condición no disponibles", "Evidencia atribuible no disponible")
+    rows = [(["AMOUNT_NULL", "X"], "LATER_INVALID_OBSERVED", 2, 0, [("LATER", ["DATE_INVALID"]), ("ODD", [])], "MISSING_CODE", "UNKNOWN"), ([], "LEGACY_UNASSESSED", None, None, [], None, "KNOWN"), (None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "w array<string>, s string, l bigint, e bigint, k array<struct<relation:string,rejection_codes:array<string>>>, r string, i string")
+    got = df.select(P.listed(F.col("w")), P.condition_text(F.col("s"), F.col("l"), F.col("e")), P.evidence_text(F.col("k")), P.identity_text(F.col("i"), F.col("r"))).collect()
+    assert tuple(got[0]) == ("no amount, issue X", "a later invalid observation, 2 later", "seen later: no such date\nrelation ODD: no issues", "no code given")
+    assert tuple(got[1]) == ("no issues", "never assessed", "no evidence", "known")
+    assert tuple(got[2]) == ("not assessed", "not stated", "not assessed", "not stated")
+    assert df.select(P.listed(F.col("w"), {"X": "un", "*": "?"}, between="/")).first()[0] == "?AMOUNT_NULL/un"
 
 
 def test_command_line(capsys):
