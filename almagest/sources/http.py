@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime
-import json
+import decimal
 import time
 import urllib.error
 import urllib.parse
@@ -19,6 +19,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from almagest.functions import exact_json
+
 #: HTTP states worth another try.
 RETRIED = (408, 429, 500, 502, 503, 504)
 
@@ -41,18 +43,21 @@ class Budget:
 
 
 def quote(value: str) -> str:
-    """A text literal of the query language; a quote inside is doubled."""
-    return "'" + value.replace("'", "''") + "'"
+    """A literal of the query language: numbers as written, text in quotes, of which one inside is doubled."""
+    return str(value) if isinstance(value, exact_json.Number) else "'" + value.replace("'", "''") + "'"
 
 
-def predicate(equals: dict[str, str] | None = None, null: str | None = None, window: tuple[str, str, str] | None = None, among: tuple[str, list[str]] | None = None, after: tuple[str, str] | None = None) -> str:
-    """A conjunction: equalities, a null test, a half-open window, a list of values, a key cursor."""
+def predicate(equals: dict[str, str] | None = None, null: str | None = None, window: tuple[str, str, str] | None = None, between: tuple[str, str, str] | None = None, among: tuple[str, list[str]] | None = None, after: tuple[str, str] | None = None) -> str:
+    """A conjunction: equalities, a null test, a half-open window, a closed range of the watermark, a list of values, a key cursor."""
     parts = [f"{c} = {quote(v)}" for c, v in (equals or {}).items()]
     if null:
         parts.append(f"{null} IS NULL")
     if window:
         c, start, end = window
         parts.append(f"{c} >= {quote(start)} AND {c} < {quote(end)}")
+    if between:
+        c, start, end = between
+        parts.append(f"{c} >= {quote(start)} AND {c} <= {quote(end)}")
     if among:
         parts.append(f"{among[0]} IN ({', '.join(map(quote, among[1]))})" if among[1] else "1 = 0")
     if after:
@@ -98,6 +103,13 @@ def days(start: str, end: str, step: int) -> list[tuple[str, str]]:
     return out
 
 
+def _beyond(a: str, b: str) -> bool:
+    """Whether a key comes after another: numbers by value, texts by code point; never across kinds."""
+    if isinstance(a, exact_json.Number) != isinstance(b, exact_json.Number):
+        return False
+    return decimal.Decimal(a) > decimal.Decimal(b) if isinstance(a, exact_json.Number) else a > b
+
+
 def pages(url: str, fields: list[str], key: str, limit: int, budget: Budget, **where) -> Iterator[list[dict]]:
     """Pages in key order until a short one; each starts after the last key of the one before."""
     after = None
@@ -106,26 +118,18 @@ def pages(url: str, fields: list[str], key: str, limit: int, budget: Budget, **w
         cond = predicate(**where, after=after)
         if cond:
             asked["$where"] = cond
-        # numbers keep the spelling of the page
-        rows = json.loads(fetch(f"{url}?{urllib.parse.urlencode(asked)}", budget), parse_float=str, parse_int=str)
+        rows = exact_json.loads(fetch(f"{url}?{urllib.parse.urlencode(asked)}", budget))  # numbers keep the spelling of the page
         if not isinstance(rows, list):
             raise ValueError("PAGE_IS_NO_ARRAY")
         yield rows
         if len(rows) < limit:
             return
         last = rows[-1].get(key)
-        if last is None or after and last <= after[1]:
+        if last is None or after and not _beyond(last, after[1]):
             raise ValueError("CURSOR_DOES_NOT_ADVANCE")
         after = (key, last)
 
 
-def text(value) -> str | None:
-    """A cell as text: objects and arrays as compact JSON, truth values in lower case."""
-    if value is None or isinstance(value, str):
-        return value
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-
-
 class _Window(InputPartition):
     def __init__(self, start: str | None, end: str | None):
         super().__init__((start, end))
@@ -150,7 +154,7 @@ class _Reader(DataSourceReader):
             where = {"window": (self.column, partition.start, partition.end)} if partition.start else {"null": self.column}
         for page in pages(self.url, self.fields, self.key, self.limit, Budget(self.requests), **where):
             for row in page:
-                yield tuple(text(row.get(f)) for f in self.fields)
+                yield tuple(exact_json.cell(row.get(f)) for f in self.fields)
 
 
 class JsonPagesSource(DataSource):

@@ -2,24 +2,130 @@
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
+import time
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from almagest.functions import exact_json
 
-def read_pages(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+
+def hadoop(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+_OWN: list[str] = []
+
+
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A new folder name under ``spark.checkpoint.dir``, which driver and executors share; deleted when the JVM ends.
+
+    Only a local session without that setting gets a folder of this process.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="almagest-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        base = f"file://{_OWN[0]}"
+    path = f"{base.rstrip('/')}/almagest/{tag}-{uuid.uuid4().hex}"
+    p, fs = hadoop(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if it is not there."""
+    p, fs = hadoop(spark, path)
+    if not fs.exists(p):
+        return None
+    s = fs.open(p)
+    try:
+        return bytes(s.readAllBytes()).decode()
+    finally:
+        s.close()
+
+
+def _renamed(spark: SparkSession, old, new, overwrite: bool) -> None:
+    jvm = spark.sparkContext._jvm
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE if overwrite else kind.NONE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(old, new, options)
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file, written aside and moved into place in one step; readers see the old or the new one.
+
+    Without ``overwrite`` it fails if the file is there already.
+    """
+    new, fs = hadoop(spark, path)
+    aside, _ = hadoop(spark, f"{path}.{uuid.uuid4().hex}.new")
+    fs.mkdirs(new.getParent())
+    out = fs.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        _renamed(spark, aside, new, overwrite)
+    except Exception:
+        fs.delete(aside, False)
+        raise
+
+
+_PAGE_ROWS = 2000
+
+
+def read_pages(spark: SparkSession, path: str | list[str], fields: list[str], errors: bool = False) -> DataFrame:
     """Rows of JSON array pages as text columns with page and ordinal; absent fields are null.
 
-    Values keep the spelling of the page: numbers are not read through floats,
-    objects and arrays stay compact JSON.
+    Values keep the spelling of the page: ``1.10`` and ``1e2`` stay as they
+    are, also inside objects and in ``payload_json``; objects and arrays are
+    compact JSON. A page that cannot be read (no JSON, no array, an element
+    that is no object, a repeated key) fails the query with PAGE_ERROR; with
+    ``errors`` it gives a row with ``page_error`` and no ordinal instead. An
+    empty array has no rows. A page is one value, so it should fit a task.
     """
-    pages = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("page_path"))
-    rows = pages.select("page_path", F.posexplode(F.from_json("value", "array<variant>")).alias("ordinal", "v"))
-    cells = [F.coalesce(F.expr(f"try_variant_get(v, '$.{f}', 'string')"), F.nullif(F.to_json(F.expr(f"try_variant_get(v, '$.{f}', 'variant')")), F.lit("null"))).alias(f) for f in fields]
-    return rows.select(*cells, "page_path", F.col("ordinal").cast("long").alias("row_ordinal"), F.to_json("v").alias("payload_json"))
+    names = [f"f{i}" for i in range(len(fields))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            kinds = [pa.string()] * len(names) + [pa.string(), pa.int64(), pa.string(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[*names, "page_path", "row_ordinal", "payload_json", "page_error"])
+
+        for b in batches:
+            for page, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                try:
+                    rows = exact_json.loads(content.as_py())
+                    if not isinstance(rows, list) or not all(isinstance(r, dict) for r in rows):
+                        raise ValueError("NO_ARRAY_OF_OBJECTS")
+                    out = [(*[exact_json.cell(r.get(f)) for f in fields], page, i, exact_json.dumps(r), None) for i, r in enumerate(rows)]
+                except (ValueError, RecursionError) as error:  # also a text that is no UTF-8
+                    out = [(*[None] * len(names), page, None, None, str(error) or type(error).__name__)]
+                for i in range(0, len(out), _PAGE_ROWS):
+                    yield batch(out[i : i + _PAGE_ROWS])
+
+    schema = ", ".join([*[f"{n} string" for n in names], "page_path string, row_ordinal bigint, payload_json string, page_error string"])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).where(~F.col("path").endswith("/manifest.json"))
+    rows = files.select("path", "content").mapInArrow(run, schema)
+    cells = [F.col(n).alias(f) for n, f in zip(names, fields, strict=True)]
+    if errors:
+        return rows.select(*cells, "page_path", "row_ordinal", "payload_json", "page_error")
+    failed = F.raise_error(F.concat(F.lit("PAGE_ERROR "), "page_path", F.lit(": "), "page_error"))
+    return rows.select(*cells, "page_path", F.when(F.col("page_error").isNotNull(), failed.cast("bigint")).otherwise(F.col("row_ordinal")).alias("row_ordinal"), "payload_json").where("row_ordinal is not null")
 
 
 def text_schema(fields: list[str]) -> StructType:
@@ -27,53 +133,67 @@ def text_schema(fields: list[str]) -> StructType:
 
 
 class VersionStore:
-    """Version folders under one root and a pointer file that names the current one.
+    """Version folders under one root and numbered pointers, of which the highest names the current version.
 
-    All file operations go through Hadoop's file system, so any store works.
+    All file operations go through Hadoop's file system, so any store works. A
+    pointer is moved into place in one step under the next number, which fails
+    if another writer took that number: readers always see one version whole,
+    and of two writers that expect the same one, one is refused.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        self.fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._path = lambda p: hadoop(spark, p)[0]
+        self.fs = hadoop(spark, self.root)[1]
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None, expect: str | None = None) -> str:
-        """Write a version, read it back, then move the pointer; a failed write leaves the pointer alone."""
+        """Write a version, check what can be read back, then move the pointer; a failed write leaves the pointer alone."""
         version = uuid.uuid4().hex
         path = f"{self.root}/versions/{version}"
-        w = df.write.mode("errorifexists").option("compression", "snappy")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-        back = self.spark.read.parquet(path)
-        if set(back.columns) != set(df.columns):
-            raise ValueError("READ_BACK_MISMATCH")
+        counted = Observation()
+        keys = partition_by or []
+        w = df.observe(counted, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*keys).bitwiseAND(F.lit(0xFFFFFFFF))).alias("keys") if keys else F.lit(None).cast("bigint").alias("keys"))
+        w = w.write.mode("errorifexists").option("compression", "snappy")
+        (w.partitionBy(*keys) if keys else w).parquet(path)
+        self._check(path, df.schema, counted.get, keys)
         self.activate(version, expect)
         return version
 
+    def _check(self, path: str, schema: StructType, counted: dict, keys: list[str]) -> None:
+        """The files have the columns and types that were written, as many rows, and the same partition values."""
+        kinds = {f.name: f.dataType for f in schema}
+        files = self.spark.read.option("partitionOverwriteMode", "static").parquet(path)
+        if {n: t for n, t in kinds.items() if n not in keys} != {f.name: f.dataType for f in files.schema if f.name not in keys} or set(files.columns) != set(kinds):
+            raise ValueError("READ_BACK_SCHEMA")
+        back = self.spark.read.schema(schema).parquet(path)
+        total = F.sum(F.xxhash64(*keys).bitwiseAND(F.lit(0xFFFFFFFF))) if keys else F.lit(None).cast("bigint")
+        got = back.agg(F.count(F.lit(1)).alias("n"), total.alias("keys")).first()
+        if got.n != counted["n"]:
+            raise ValueError("READ_BACK_COUNT")
+        if got["keys"] != counted["keys"]:
+            raise ValueError("READ_BACK_PARTITIONS")
+
+    def _pointer(self) -> tuple[int, str | None]:
+        p = self._path(f"{self.root}/pointers")
+        numbers = [int(n[:-5]) for s in (self.fs.listStatus(p) if self.fs.exists(p) else []) if (n := s.getPath().getName()).endswith(".json")]
+        if not numbers:
+            return 0, None
+        return max(numbers), json.loads(read_text(self.spark, f"{self.root}/pointers/{max(numbers):012d}.json"))["version"]
+
     def current(self) -> str | None:
-        p = self._path(f"{self.root}/current.json")
-        if not self.fs.exists(p):
-            return None
-        s = self.fs.open(p)
-        try:
-            return json.loads(bytes(s.readAllBytes()).decode())["version"]
-        finally:
-            s.close()
+        return self._pointer()[1]
 
     def activate(self, version: str, expect: str | None = None) -> None:
         """Point to a version; with ``expect``, only if that one is current."""
-        if expect is not None and self.current() != expect:
+        number, now = self._pointer()
+        if expect is not None and now != expect:
             raise ValueError("CURRENT_CHANGED")
         if not self.fs.exists(self._path(f"{self.root}/versions/{version}")):
             raise ValueError("UNKNOWN_VERSION")
-        out = self.fs.create(self._path(f"{self.root}/current.json.new"), True)
-        out.write(bytearray(json.dumps({"version": version}).encode()))
-        out.close()
-        old, new = self._path(f"{self.root}/current.json"), self._path(f"{self.root}/current.json.new")
-        if self.fs.exists(old):
-            self.fs.delete(old, False)
-        if not self.fs.rename(new, old):
-            raise OSError("pointer not moved")
+        try:
+            write_text(self.spark, f"{self.root}/pointers/{number + 1:012d}.json", json.dumps({"version": version}), overwrite=False)
+        except Exception as error:
+            raise ValueError("CURRENT_CHANGED") from error
 
     def read(self, version: str | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/versions/{version or self.current()}")
@@ -85,10 +205,15 @@ class VersionStore:
         found = sorted(self.fs.listStatus(p), key=lambda s: (s.getModificationTime(), s.getPath().getName()))
         return [s.getPath().getName() for s in found]
 
-    def retain(self, most: int = 3) -> list[str]:
-        """Delete the oldest versions beyond ``most``, never the current one; returns what went."""
+    def retain(self, most: int = 3, hours: float = 0.0) -> list[str]:
+        """Delete the oldest versions beyond ``most``, never the current one nor one written in the last ``hours``; returns what went.
+
+        ``hours`` leaves those who read an older version the time to finish.
+        """
         keep = set(self.versions()[-most:]) | {self.current()}
-        gone = [v for v in self.versions() if v not in keep]
+        p = self._path(f"{self.root}/versions")
+        young = {s.getPath().getName() for s in (self.fs.listStatus(p) if self.fs.exists(p) else []) if s.getModificationTime() > (time.time() - 3600 * hours) * 1000}
+        gone = [v for v in self.versions() if v not in keep | young]
         for v in gone:
             self.fs.delete(self._path(f"{self.root}/versions/{v}"), True)
         return gone

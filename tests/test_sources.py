@@ -1,5 +1,6 @@
 import datetime
 import decimal
+import hashlib
 import io
 import json
 import threading
@@ -11,8 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
-from almagest.functions import codecs
-from almagest.sources import http
+from almagest.functions import codecs, exact_json
+from almagest.sources import http, runs, store
 
 ROWS = [{"id": f"k{i:03d}", "day": f"2026-01-{i % 4 + 1:02d}T00:00:00" if i % 5 else None, "n": i, "u": {"url": "x"}, "ok": i % 2 == 0} for i in range(40)]
 
@@ -122,3 +123,136 @@ def test_codecs_refuse_other_spellings(spark):
     with pytest.raises(ValueError, match="NO_CODEC"):
         codecs.codec(MapType(StringType(), StringType()))
     assert codecs.codec_faults(like).agg(F.sum("cells")).first()[0] == 0
+
+
+def test_exact_json():
+    text = '[{"a":1.10,"b":1e2,"c":12345678901234567890123456789012345678901234567890,"d":{"x":[1.50,true,null,"é"]},"e":"1"}]'
+    value = exact_json.loads(text)
+    assert exact_json.dumps(value) == text and exact_json.cell(value[0]["d"]) == '{"x":[1.50,true,null,"é"]}'
+    assert [exact_json.cell(value[0][k]) for k in "abe"] == ["1.10", "1e2", "1"] and exact_json.cell(None) is None and exact_json.cell(False) == "false"
+    for bad in ('{"a":1,"a":2}', "[1", "[NaN]", ""):
+        with pytest.raises(ValueError):
+            exact_json.loads(bad)
+
+
+def test_pages_keep_numbers_and_lose_nothing(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"n":1.10,"o":{"v":1e2}},{"n":99999999999999999999.5}]')
+    (tmp_path / "b.json").write_text("[]")
+    rows = store.read_pages(spark, str(tmp_path), ["n", "o", "m"]).orderBy("row_ordinal").collect()
+    assert [(r.n, r.o, r.m, r.payload_json) for r in rows] == [("1.10", '{"v":1e2}', None, '{"n":1.10,"o":{"v":1e2}}'), ("99999999999999999999.5", None, None, '{"n":99999999999999999999.5}')]
+    (tmp_path / "c.json").write_text('[{"n":1},{"n":2')
+    (tmp_path / "d.json").write_text('[{"n":1,"n":2}]')
+    (tmp_path / "e.json").write_bytes(b'[{"n":"\xff"}]')
+    (tmp_path / "f.json").write_text('{"n":1}')
+    got = store.read_pages(spark, str(tmp_path), ["n"], errors=True).collect()
+    assert sorted(r.page_path[-6:] for r in got if r.page_error) == ["c.json", "d.json", "e.json", "f.json"] and len(got) == 6
+    with pytest.raises(Exception, match="PAGE_ERROR"):
+        store.read_pages(spark, str(tmp_path), ["n"]).collect()
+
+
+def _run(folder, name, pages, **more):
+    (folder / name).mkdir()
+    said = []
+    for i, text in enumerate(pages):
+        (folder / name / f"p{i}.json").write_text(text)
+        said.append({"path": f"p{i}.json", "sha256": hashlib.sha256(text.encode()).hexdigest(), "rows": len(json.loads(text))})
+    m = json.loads(runs.manifest(name, "d", "c1", said)) | more
+    (folder / name / "manifest.json").write_text(json.dumps(m))
+    return m
+
+
+def test_runs_are_checked_before_they_are_read(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    _run(tmp_path, "r2", ['[{"k":"b","v":2.50}]', "[]"])
+    _run(tmp_path, "r1", ['[{"k":"a","v":1.10},{"k":"c"}]'])
+    _run(tmp_path, "r3", ['[{"k":"x"}]'], status="prepared")
+    (tmp_path / "r4").mkdir()
+    rows = runs.read_runs(spark, root, "d", ["k", "v"]).collect()
+    assert sorted((r.run_id, r.k, r.v) for r in rows) == [("r1", "a", "1.10"), ("r1", "c", None), ("r2", "b", "2.50")]
+    assert rows[0].payload_sha256 == hashlib.sha256(rows[0].payload_json.encode()).hexdigest()
+    for asked, code in ((["r3"], "NOT_COMMITTED"), (["r4"], "MISSING_MANIFEST"), (["r1", "r1"], "REPEATED_RUN")):
+        with pytest.raises(runs.RunEvidence, match=code):
+            runs.resolve_runs(spark, root, "d", asked)
+    with pytest.raises(runs.RunEvidence, match="OTHER_DATASET"):
+        runs.resolve_runs(spark, root, "e")
+    with pytest.raises(runs.RunEvidence, match="UNKNOWN_CONTRACT"):
+        runs.resolve_runs(spark, root, "d", contracts={"c2"})
+    assert runs.recover(spark, root) == ["r3"] and runs.recover(spark, root) == []
+    assert [m["run_id"] for m in runs.resolve_runs(spark, root, "d")] == ["r1", "r2", "r3"]
+    (tmp_path / "r1" / "p0.json").write_text('[{"k":"a","v":1.1},{"k":"c"}]')
+    with pytest.raises(runs.RunEvidence, match="PAGE_HASH r1/p0.json"):
+        runs.read_runs(spark, root, "d", ["k"])
+    (tmp_path / "r2" / "p1.json").unlink()
+    got = runs.page_faults(spark, root, runs.resolve_runs(spark, root, "d")).collect()
+    assert sorted((r.run_id, r.fault) for r in got) == [("r1", "PAGE_HASH"), ("r2", "PAGE_MISSING")]
+    _run(tmp_path, "r5", ["[]"], written=3)
+    with pytest.raises(runs.RunEvidence, match="WRITTEN_COUNT"):
+        runs.resolve_runs(spark, root, "d")
+    assert runs.resolve_runs(spark, root + "/none", "d") == []
+
+
+def test_checkpoint_moves_only_for_whole_runs():
+    whole = {"status": "committed", "range_complete": True, "truncated": False, "high_watermark": "2026-02"}
+    assert runs.advance(None, whole) == runs.advance("2026-01", whole) == "2026-02" and runs.advance("2026-03", whole) == "2026-03"
+    for part in ({"status": "failed"}, {"range_complete": False}, {"truncated": True}, {"purpose": "population"}, {"high_watermark": None}):
+        assert runs.advance("2026-01", whole | part) == "2026-01"
+
+
+def test_ledger_keeps_its_budget(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger.json"
+    book = runs.Ledger(spark, path, 10)
+    book.reserve("a", 6)
+    assert book.left() == 4
+    for run, n, code in (("a", 1, "ALREADY_RESERVED"), ("b", 5, "BUDGET_SPENT")):
+        with pytest.raises(runs.RunEvidence, match=code):
+            book.reserve(run, n)
+    book.charge("a", 2)
+    again = runs.Ledger(spark, path, 99)  # a new process finds the book as it was
+    assert again.left() == 8
+    again.pause()
+    with pytest.raises(runs.RunEvidence, match="PAUSED"):
+        book.reserve("c", 1)
+    again.pause(False)
+    book.reserve("c", 8)
+    with pytest.raises(runs.RunEvidence, match="NOT_RESERVED"):
+        book.charge("c", 9)
+    assert book.left() == 0
+
+
+def test_numeric_cursors():
+    rows = [{"id": i} for i in (98, 99, 100, 101)]
+
+    def opener(url, timeout):
+        where = urllib.parse.parse_qs(urllib.parse.urlparse(url).query).get("$where", ["id > 0"])[0]
+        after = int(where.split("id > ")[1])
+        return io.BytesIO(json.dumps([r for r in rows if r["id"] > after][:2]).encode())
+
+    fetch = http.fetch
+    try:
+        http.fetch = lambda url, budget: fetch(url, budget, opener=opener)
+        got = [r["id"] for page in http.pages("u", ["id"], "id", 2, http.Budget(9)) for r in page]
+    finally:
+        http.fetch = fetch
+    assert got == ["98", "99", "100", "101"]
+    assert not http._beyond(exact_json.Number("9"), "1") and http._beyond("b", "a") and http._beyond(exact_json.Number("1e2"), exact_json.Number("99.5"))
+    assert http.predicate(between=("t", "a", "b")) == "t >= 'a' AND t <= 'b'"
+
+
+def test_store_refuses_the_second_writer(spark, tmp_path):
+    s = store.VersionStore(spark, f"file://{tmp_path}/store")
+    a = s.publish(spark.range(4).selectExpr("id", "cast(id % 2 as string) as p"), ["p"])
+    assert s.current() == a and s.read().count() == 4 and s.read().where("p = '1'").count() == 2
+    other = store.VersionStore(spark, f"file://{tmp_path}/store")
+    number = other._pointer
+    other._pointer = lambda: (0, None)  # has looked before the first one was there
+    with pytest.raises(ValueError, match="CURRENT_CHANGED"):
+        other.activate(a)
+    other._pointer = number
+    with pytest.raises(ValueError, match="UNKNOWN_VERSION"):
+        other.activate("nothing")
+    b = other.publish(spark.range(2), expect=a)
+    assert s.current() == b and s.retain(1, hours=1) == [] and s.retain(1) == [a]
+    with pytest.raises(ValueError, match="READ_BACK_COUNT"):
+        s._check(f"{s.root}/versions/{b}", spark.range(1).schema, {"n": 3, "keys": None}, [])
+    with pytest.raises(ValueError, match="READ_BACK_SCHEMA"):
+        s._check(f"{s.root}/versions/{b}", spark.range(1).selectExpr("cast(id as int) as id").schema, {"n": 2, "keys": None}, [])
