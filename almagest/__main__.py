@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from almagest.plans import queries
+from almagest.plans import registry as queries
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -60,7 +60,7 @@ def amount(raw: Column) -> Column:
 
 def strict_timestamp(raw: Column) -> Column:
     """A source time of the one accepted shape, with exactly three decimals and nothing around it; else null."""
-    return F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"), raw.try_cast("timestamp_ntz"))
+    return F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}\z"), raw.try_cast("timestamp_ntz"))
 
 
 def business_date(raw: Column, midnight_only: bool = False) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from almagest.functions import columns as C
 
@@ -26,6 +27,27 @@ def amount_rules(raw: Column, field: str = "valor_del_contrato") -> list[Column]
     ]
 
 
+def identifier_rule(raw: Column, field: str = "id_contrato") -> list[Column]:
+    return [detail(C.clean_text(raw).isNull(), "IDENTIFIER_NULL", field, "identifier is missing", raw)]
+
+
+def scope_rule(raw: Column, department: str, field: str = "departamento") -> list[Column]:
+    """Rows whose department is not the one in scope, compared without case, marks and spaces around."""
+    return [detail(~C.territory_key(raw).eqNullSafe(C.territory_key(F.lit(department))), "DEPARTMENT_OUT_OF_SCOPE", field, "another department", raw)]
+
+
+def municipality_status(raw: Column, catalog: dict[str, str]) -> Column:
+    """``struct(name, status)``: KNOWN with the catalog's name, UNKNOWN, or MISSING. ``catalog`` maps spellings to names and is a literal."""
+    keys = F.create_map(*[x for k, v in catalog.items() for x in (C.territory_key(F.lit(k)), F.lit(v))])
+    name = F.try_element_at(keys, C.territory_key(raw))
+    return F.struct(name.alias("name"), F.when(C.clean_text(raw).isNull(), "MISSING").when(name.isNull(), "UNKNOWN").otherwise("KNOWN").alias("status"))
+
+
+def warning_codes(municipality: Column) -> Column:
+    """Codes of a row that is accepted all the same, sorted and distinct."""
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(F.when(municipality == "UNKNOWN", F.lit("UNKNOWN_MUNICIPALITY"))))))
+
+
 def date_rules(raw: dict[str, Column], parsed: dict[str, Column]) -> list[Column]:
     """Dates that cannot be read, and dates in the wrong order (``signing``, ``start``, ``end``)."""
     out = [detail(F.trim(r).isNotNull() & (F.trim(r) != "") & parsed[k].isNull(), "DATE_INVALID", k, "no calendar time", r) for k, r in raw.items()]
@@ -90,34 +112,68 @@ def collisions(df: DataFrame, key: str = "contract_key", raw: str = "source_id_r
     return df.groupBy(key).agg(F.countDistinct(raw).alias("spellings"), F.count("*").alias("rows")).where("spellings > 1")
 
 
-def quality_results(valid: DataFrame, counts: DataFrame, max_rejection_rate: float = 0.02) -> DataFrame:
-    """Controls as rows: ``control, severity, observed, expected, affected, passed``.
+#: Columns that may not be null in the valid table.
+REQUIRED = ("contract_key", "payload_sha256", "value", "entity_status", "supplier_status")
+
+
+def quality_results(valid: DataFrame, counts: DataFrame, max_rejection_rate: float = 0.02, schema: StructType | None = None, metrics_schema: StructType | None = None, department: str | None = None, allow_empty: bool = False, raw: DataFrame | None = None) -> DataFrame:
+    """The fifteen controls as rows ``control, severity, observed, expected, affected, passed``.
 
-    All row-level counts come from one pass over ``valid``.
+    All row-level counts come from one pass over ``valid``. ``schema`` and
+    ``metrics_schema`` are what the two tables should have (their own if not
+    given); ``department`` is the one all rows should be of; ``raw`` holds the
+    observations in which spellings of one key are looked for (``valid`` if
+    not given).
     """
     known = lambda s: F.col(f"{s}_status") == "KNOWN"
     bad = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    have = set(valid.columns)
+    wrong = [known(r) != F.col(f"{r}_code").isNotNull() for r in ("entity", "supplier")] + [known(r) != F.col(f"{r}_reason").isNull() for r in ("entity", "supplier") if f"{r}_reason" in have]
+    place = F.lit(False)
+    if department is not None:
+        place = ~F.col("department").eqNullSafe(F.lit(department))
+    if "signing_year" in have:
+        place |= F.col("signing_year") != C.year_text(F.col("signing_date"))
+    late = F.col("signing_date") > F.col("end_date")
+    if "start_date" in have:
+        late = F.coalesce(late, F.lit(False)) | (F.col("start_date") > F.col("end_date"))
+    warned = F.size("quality_warning_codes") > 0 if "quality_warning_codes" in have else F.col("municipality").isNull()
     one = valid.agg(
         F.count("*").alias("n"),
         (F.count("*") - F.countDistinct("contract_key")).alias("dup"),
-        bad(known("entity") != F.col("entity_code").isNotNull()).alias("entity"),
-        bad(known("supplier") != F.col("supplier_code").isNotNull()).alias("supplier"),
+        bad(F.exists(F.array(*wrong), lambda x: F.coalesce(x, F.lit(True)))).alias("identity"),
         bad(F.col("value").isNull() | (F.col("value") < 0)).alias("amount"),
-        bad(F.col("signing_date") > F.col("end_date")).alias("dates"),
-        F.count_if(F.col("contract_key").isNull() | F.col("value").isNull()).alias("nulls"),
-        bad(F.col("municipality").isNull()).alias("municipality"),
+        bad(late).alias("dates"),
+        bad(place).alias("territory"),
+        sum((F.count_if(F.col(c).isNull()) for c in REQUIRED if c in have), F.lit(0)).alias("nulls"),
+        bad(warned).alias("warned"),
     ).crossJoin(counts)  # one row each
-    gap = F.abs(F.col("input_rows") - F.col("rejected_rows") - F.col("exact_duplicates") - F.col("superseded_versions") - F.col("output_rows"))
+    spelled = collisions(valid if raw is None else raw).agg(F.count("*").alias("groups"), F.coalesce(F.sum("rows"), F.lit(0)).alias("collided"))
+    one = one.crossJoin(spelled)
+    parts = F.col("output_rows") + F.col("rejected_rows") + F.col("exact_duplicates") + F.col("superseded_versions")
+    order = lambda df, want: want is None or df.columns == want.names
+    kinds = lambda df, want: want is None or {f.name: f.dataType for f in df.schema} == {f.name: f.dataType for f in want}
+    metrics_ok = (F.col("input_rows") >= 0) & (F.col("input_rows") == parts) & F.col("rejection_rate").between(0, 1)
+    schema_ok = F.lit(kinds(valid, schema)) & (F.col("amount") + F.col("nulls") + F.col("dup") == 0)
+    zero = lambda n, c, severity="CRITICAL": (n, severity, F.col(c).cast("string"), F.lit("0"), F.col(c), F.col(c) == 0)
+    none = F.lit(None).cast("bigint")
+    holds = lambda n, ok, want: (n, "CRITICAL", F.when(ok, "valid").otherwise("invalid"), F.lit(want), none, ok)
     rows = [
-        ("UNIQUE_CONTRACT_KEY", "CRITICAL", F.col("dup")),
-        ("IDENTITY_CONSISTENCY", "CRITICAL", F.col("entity") + F.col("supplier")),
-        ("AMOUNT_VALID", "CRITICAL", F.col("amount")),
-        ("DATE_COHERENCE", "CRITICAL", F.col("dates")),
-        ("CRITICAL_NULLS", "CRITICAL", F.col("nulls")),
-        ("COUNT_RECONCILIATION", "CRITICAL", gap),
-        ("NON_EMPTY_OUTPUT", "CRITICAL", (F.col("n") == 0).cast("bigint")),
-        ("REJECTION_RATE", "CRITICAL", F.when(F.col("rejection_rate") > max_rejection_rate, F.col("rejected_rows")).otherwise(F.lit(0))),
-        ("UNKNOWN_MUNICIPALITY", "WARNING", F.col("municipality")),
+        zero("IDENTITY_CONSISTENCY", "identity"),
+        holds("PANDERA_SILVER_SCHEMA", schema_ok, "columns, types and rows of the contract"),
+        holds("PANDERA_METRICS_SCHEMA", F.lit(kinds(counts, metrics_schema)) & metrics_ok, "types and sums of the contract"),
+        holds("SILVER_COLUMN_ORDER", F.lit(order(valid, schema)), "order of the contract"),
+        holds("METRICS_COLUMN_ORDER", F.lit(order(counts, metrics_schema)), "order of the contract"),
+        zero("CRITICAL_NULLS", "nulls"),
+        zero("UNIQUE_CONTRACT_KEY", "dup"),
+        zero("AMOUNT_VALID", "amount"),
+        zero("DATE_COHERENCE", "dates"),
+        zero("TERRITORY_CONSISTENCY", "territory"),
+        ("KEY_COLLISION", "CRITICAL", F.concat_ws("/", F.col("groups").cast("string"), F.col("collided").cast("string")), F.lit("0/0"), F.col("collided"), F.col("groups") == 0),
+        ("COUNT_RECONCILIATION", "CRITICAL", F.col("input_rows").cast("string"), parts.cast("string"), F.abs(F.col("input_rows") - parts), F.col("input_rows") == parts),
+        ("REJECTION_RATE", "CRITICAL", F.concat_ws("/", F.col("rejected_rows").cast("string"), F.col("input_rows").cast("string")), F.lit(f"at most {max_rejection_rate}"), F.col("rejected_rows"), F.col("rejection_rate") <= max_rejection_rate),
+        ("NON_EMPTY_OUTPUT", "CRITICAL", F.col("output_rows").cast("string"), F.lit(">= 0" if allow_empty else "> 0"), none, F.lit(allow_empty) | (F.col("output_rows") > 0)),
+        zero("UNKNOWN_MUNICIPALITY", "warned", "WARNING"),
     ]
-    made = F.array(*[F.struct(F.lit(a).alias("control"), F.lit(b).alias("severity"), c.cast("bigint").alias("affected")) for a, b, c in rows])
-    return one.select(F.explode(made).alias("r")).select("r.*", (F.col("r.affected") == 0).alias("passed"))
+    made = F.array(*[F.struct(F.lit(a).alias("control"), F.lit(b).alias("severity"), o.alias("observed"), e.alias("expected"), n.cast("bigint").alias("affected"), ok.alias("passed")) for a, b, o, e, n, ok in rows])
+    return one.select(F.explode(made).alias("r")).select("r.*")

@@ -98,10 +98,10 @@ def identity_status(spark, d):
     return A.observations(spark, d).groupBy(F.col("supplier_code_raw").alias("raw"), F.col("supplier_code").alias("code"), F.col("supplier_status").alias("status"), F.col("supplier_reason").alias("reason")).agg(F.count("*").alias("rows"))
 
 
-@_q("select lower(source) as k, count(distinct source) as spellings, count(*) as rows from (select case when doc_id % 2 = 0 then upper(source) else source end as source from documents) group by 1 having count(distinct source) > 1", base=False)
+@_q("select lower(source) as k, count(distinct source) as spellings, count(*) as rows from (select case when doc_id % 3 = 0 then upper(source) else source end as source from documents) group by 1 having count(distinct source) > 1", base=False)
 def key_collisions(spark, d):
     """Keys with several spellings."""
-    rows = A.table(spark, d, "documents").select(F.when(F.col("doc_id") % 2 == 0, F.upper("source")).otherwise(F.col("source")).alias("raw"))
+    rows = A.table(spark, d, "documents").select(F.when(F.col("doc_id") % 3 == 0, F.upper("source")).otherwise(F.col("source")).alias("raw"))
     return silver.collisions(rows.withColumn("k", F.lower("raw")), "k", "raw")
 
 
@@ -124,13 +124,20 @@ def version_ranks(spark, d):
     return silver.version_ranks(twice).where("version_rank is not null").groupBy(F.col("version_rank").cast("bigint").alias("version_rank")).agg(F.count("*").alias("rows"))
 
 
-@_q("""select * from (values ('UNIQUE_CONTRACT_KEY','CRITICAL'),('IDENTITY_CONSISTENCY','CRITICAL'),('AMOUNT_VALID','CRITICAL'),('DATE_COHERENCE','CRITICAL'),('CRITICAL_NULLS','CRITICAL'),('COUNT_RECONCILIATION','CRITICAL'),('NON_EMPTY_OUTPUT','CRITICAL')) v(control, severity), (select 0::bigint as affected, true as passed)
- union all select 'UNKNOWN_MUNICIPALITY', 'WARNING', n, n = 0 from (select count(*) as n from valid where municipality is null)
- union all select 'REJECTION_RATE', 'CRITICAL', case when r > 0.02 * n then r else 0 end, r <= 0.02 * n from (select count(*) as n, count(*) filter (where bad) as r from obs)""")
+_RESULTS = """, rate as (select count(*) as n, count(*) filter (where {bad}) as r from {rows}), v as (select count(*) as n, count(*) filter (where {warned}) as w, {extra} from {valid})
+select * from (select unnest(['IDENTITY_CONSISTENCY', 'CRITICAL_NULLS', 'UNIQUE_CONTRACT_KEY', 'AMOUNT_VALID', 'DATE_COHERENCE', 'TERRITORY_CONSISTENCY']) as control, 'CRITICAL' as severity, unnest([id, nu, du, am, da, te]) as affected from v) c, lateral (select cast(c.affected as varchar) as observed, '0' as expected, c.affected = 0 as passed)
+union all by name select control, 'CRITICAL' as severity, case when ok then 'valid' else 'invalid' end as observed, expected, null::bigint as affected, ok as passed from (select unnest(['PANDERA_SILVER_SCHEMA', 'PANDERA_METRICS_SCHEMA', 'SILVER_COLUMN_ORDER', 'METRICS_COLUMN_ORDER']) as control, unnest([am + nu + du = 0, true, true, true]) as ok, unnest(['columns, types and rows of the contract', 'types and sums of the contract', 'order of the contract', 'order of the contract']) as expected from v)
+union all by name select 'KEY_COLLISION' as control, 'CRITICAL' as severity, count(*) || '/' || coalesce(sum(n), 0) as observed, '0/0' as expected, cast(coalesce(sum(n), 0) as bigint) as affected, count(*) = 0 as passed from ({spelled})
+union all by name select 'COUNT_RECONCILIATION' as control, 'CRITICAL' as severity, cast(n as varchar) as observed, cast(n as varchar) as expected, 0 as affected, true as passed from rate
+union all by name select 'REJECTION_RATE' as control, 'CRITICAL' as severity, r || '/' || n as observed, 'at most 0.02' as expected, r as affected, r <= 0.02 * n as passed from rate
+union all by name select 'NON_EMPTY_OUTPUT' as control, 'CRITICAL' as severity, cast(n as varchar) as observed, '> 0' as expected, null::bigint as affected, n > 0 as passed from v
+union all by name select 'UNKNOWN_MUNICIPALITY' as control, 'WARNING' as severity, cast(w as varchar) as observed, '0' as expected, w as affected, w = 0 as passed from v"""
+
+
+@_q(_RESULTS.format(bad="bad", rows="obs", warned="municipality is null", valid="valid", spelled="select 1 as n from valid where false", extra="0 as id, 0 as nu, 0 as du, 0 as am, 0 as da, 0 as te"))
 def quality_results(spark, d):
-    """Q3: controls of the valid table and the run."""
-    c = A.checked(spark, d)
-    return silver.quality_results(A.valid(spark, d), silver.counters(c))
+    """Q3: the controls of a valid table and its run."""
+    return silver.quality_results(A.valid(spark, d), silver.counters(A.checked(spark, d)))
 
 
 # -- star
@@ -357,10 +364,11 @@ def paged_read(spark, d):
     return M.page(o, 50, 100).withColumn("row_text", F.to_json(F.struct("o_orderkey", "o_custkey")))
 
 
-@_q("select user_id, count(*) as breaks from (select user_id, event_id, lag(ts) over (partition by user_id order by event_id) as before, ts from events) where before >= ts group by 1", base=False)
+@_q("select user_id, count(*) as breaks from (select user_id, event_id, lag(t) over (partition by user_id order by event_id) as before, t as ts from (select *, case when event_id % 50 = 0 then ts - interval 10 day else ts end as t from events)) where before >= ts group by 1", base=False)
 def cursor_breaks(spark, d):
-    """L3."""
-    return temporal.cursor_breaks(A.table(spark, d, "events"), F.col("event_id"), F.col("ts"), "user_id").groupBy("user_id").agg(F.count("*").alias("breaks"))
+    """L3: cursors that do not advance; every fiftieth event is set back."""
+    e = A.table(spark, d, "events").withColumn("ts", F.expr("case when event_id % 50 = 0 then ts - interval 10 days else ts end"))
+    return temporal.cursor_breaks(e, F.col("event_id"), F.col("ts"), "user_id").groupBy("user_id").agg(F.count("*").alias("breaks"))
 
 
 @_q("select lane, count(*) as rows from (select case when w is null then 'fallback' else 'watermark' end as lane from (select case when event_id % 3 <> 0 then ts end as w, ts from events) where coalesce(w, ts) >= timestamp '2024-01-05' and coalesce(w, ts) < timestamp '2024-01-20') group by 1", base=False)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from almagest.functions import columns as C
 from almagest.operators import checks, digest, silver, temporal
 from almagest.plans import metrics as M
-from almagest.plans import queries as Q
+from almagest.plans import registry as Q
 from almagest.sources import store
 from almagest.streaming import events as E
 
