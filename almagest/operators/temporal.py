@@ -7,6 +7,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almagest.operators.silver import VERSION_ORDER
+from almagest.sources.store import scratch_dir
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """``key, change, changed_fields`` of inserted, deleted and updated rows, null-safe."""
@@ -44,6 +47,30 @@ def observation_condition(winners: DataFrame, links: DataFrame) -> DataFrame:
     return winners.select("contract_key").join(per, "contract_key", "left").select("contract_key", state.alias("condition"), F.coalesce("later", F.lit(0)).alias("later_links"), F.coalesce("unclear", F.lit(0)).alias("unclear_links"))
 
 
+def observation_conditions(observed: DataFrame, key: str = "contract_key", raw: str = "source_id_raw", seen: str = "fetched_at") -> DataFrame:
+    """The same from observations with ``rejection_details``, which are read once.
+
+    Observations are first counted by key, outcome, spelling and time, in a
+    table that is written; winners and rejects are both taken from it. Rejects
+    count only where all of them have the winner's spelling.
+    """
+    ok = F.size("rejection_details") == 0
+    order = [F.col(c) for c in VERSION_ORDER if c in observed.columns]
+    per = observed.groupBy(F.col(key).alias("k"), ok.alias("ok"), F.col(raw).alias("raw"), F.col(seen).alias("seen")).agg(F.count("*").alias("n"), F.max(F.when(ok, F.struct(F.struct(*order).alias("o"), F.col(seen).alias("at"), F.col(raw).alias("raw")))).alias("best"))
+    path = scratch_dir(observed.sparkSession, "conditions")
+    per.write.mode("overwrite").parquet(path)
+    per = observed.sparkSession.read.schema(per.schema).parquet(path)
+    win = per.where("ok").groupBy("k").agg(F.max("best").alias("w"))
+    rejects = per.where("not ok").select("k", "raw", "seen", "n")
+    both = win.join(rejects, "k", "left")
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    at = F.col("w.at")
+    per = both.groupBy("k").agg(count(F.col("seen") > at).alias("later"), count(~F.coalesce(F.col("seen") != at, F.lit(False))).alias("unclear"), F.coalesce(F.bool_and(F.col("raw") == F.col("w.raw")), F.lit(True)).alias("single"))
+    later, unclear = (F.when(F.col("single"), F.col(c)).otherwise(0).cast("bigint") for c in ("later", "unclear"))
+    state = F.when(later > 0, "LATER_INVALID_OBSERVED").when(unclear > 0, "TEMPORAL_ORDER_INDETERMINATE").otherwise("NO_LATER_INVALID_OBSERVED")
+    return per.select(F.col("k").alias(key), state.alias("condition"), later.alias("later_links"), unclear.alias("unclear_links"))
+
+
 def observation_index(batch: DataFrame, state: DataFrame, identity: str, payload: str) -> DataFrame:
     """``identity, payload, outcome`` of a batch against what was seen: NEW, REPEATED or NEW_VERSION."""
     rows = batch.select(F.col(identity).alias("i"), F.col(payload).alias("p")).distinct()
@@ -53,6 +80,32 @@ def observation_index(batch: DataFrame, state: DataFrame, identity: str, payload
     return out.select(F.col("i").alias(identity), F.col("p").alias(payload), F.when(F.col("_pair"), "REPEATED").when(F.col("_id"), "NEW_VERSION").otherwise("NEW").alias("outcome"))
 
 
+def indexed(batch: DataFrame, state: DataFrame, identity: str, payload: str) -> DataFrame:
+    """``state`` with what the batch brought: the upsert of the observation index; applying a batch again changes nothing."""
+    cols = [F.col(identity), F.col(payload)]
+    return state.select(*cols).unionByName(batch.select(*cols)).distinct()
+
+
+def in_scope(df: DataFrame, start: datetime.date, end: datetime.date, date: str = "signing_date") -> DataFrame:
+    """Rows signed in ``[start, end)``; rows without a date are in no scope."""
+    if start >= end:
+        raise ValueError("INVERTED_INTERVAL")
+    return df.where((F.col(date) >= F.lit(start)) & (F.col(date) < F.lit(end)))
+
+
+def batches(keys: list, size: int) -> list[list]:
+    """Sorted distinct keys in lists of ``size``, as one request may name them."""
+    if size < 1:
+        raise ValueError("BATCH_SIZE")
+    keys = sorted(set(keys))
+    return [keys[i : i + size] for i in range(0, len(keys), size)]
+
+
+def first_row(df: DataFrame, *keys: str) -> DataFrame:
+    """The first row by ``keys``; no row of an empty table."""
+    return df.orderBy(*keys).limit(1)
+
+
 def effective_watermark(start: datetime.datetime, checkpoint: datetime.datetime | None, lookback_days: int = 7) -> datetime.datetime:
     return start if checkpoint is None else max(start, checkpoint - datetime.timedelta(days=lookback_days))
 

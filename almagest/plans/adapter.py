@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almagest.functions import columns as C
 from almagest.operators import silver, star
+from almagest.sources.store import scratch_dir
 
 
 #: Codes and places as the source writes them; the same text is SQL for both engines.
@@ -67,8 +68,20 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.enrich(valid(spark, sf_dir))
 
 
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rows``, written once, for queries that read them several times: versions are chosen once."""
+    path = scratch_dir(spark, "rows")
+    made = rows(spark, sf_dir)
+    made.write.mode("overwrite").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail mart. Labels are joined only where they are asked for (``star.detail``)."""
-    r = rows(spark, sf_dir)
+    return marted(rows(spark, sf_dir))
+
+
+def marted(r: DataFrame) -> DataFrame:
+    """The detail mart of enriched rows."""
     role = lambda n, known: C.surrogate(f"{n}-v1", F.when(F.col(f"{n}_status") == "KNOWN", F.col(f"{n}_natural")) if known else F.col(f"{n}_natural")).alias(f"{n}_key")
     return r.select("contract_key", "payload_sha256", role("entity", True), role("supplier", True), role("municipality", False), role("modality", False), "entity_natural", "supplier_natural", "signing_date", "end_date", "duration_days", "value", "source_updated_at", C.status_bucket(F.col("status")).alias("status_bucket"), C.month(F.col("signing_date")).alias("signing_month"))

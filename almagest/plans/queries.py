@@ -189,8 +189,8 @@ def fact_contract(spark, d):
 
 @_q(", e as (" + _party("entity") + "), s as (" + _party("supplier") + ") select det.contract_key, e.label as entity_label, s.label as supplier_label, det.value, signing_month, status_bucket, case when duration_days is null then 'UNKNOWN' when duration_days < 0 then 'NEGATIVE' else 'AVAILABLE' end as duration_state from det left join e using (entity_key) left join s using (supplier_key)")
 def contract_detail(spark, d):
-    """The fact with labels."""
-    r = A.rows(spark, d)
+    """The fact with labels."""
+    r = A.published(spark, d)
     out = star.detail(star.fact(r), star.party_dim(r, "entity"), star.party_dim(r, "supplier"), star.label_dim(r, "municipality"), star.label_dim(r, "modality"))
     return out.select("contract_key", "entity_label", "supplier_label", "value", "signing_month", "status_bucket", "duration_state")
 
@@ -210,7 +210,7 @@ _MEAS = "count(*) as contract_count, cast(sum(value) as decimal(38,2)) as total_
 
 @_q(f"select * exclude a, {_quant()} from (select entity_key, municipality_key, modality_key, signing_month, status_bucket, {_MEAS}, list(value order by value) as a from det group by 1, 2, 3, 4, 5)")
 def overview_stored(spark, d):
-    """A1-A5, A9."""
+    """A2-A5, A9."""
     return M.overview(A.detail(spark, d), stored=True)
 
 
@@ -267,7 +267,7 @@ def concentration_stored(spark, d):
 
 @_q(_conc(["entity_key"], "0.5"))
 def concentration_pooled(spark, d):
-    """One row per entity, relaxed policy."""
+    """One row per entity, relaxed policy."""
     return M.concentration(A.detail(spark, d), min_count=0.5, min_value=0.5)
 
 
@@ -331,9 +331,7 @@ _LINKS = "lk as (select r.contract_key, case when r.fetched_at > w.fetched_at th
 @_q(f", {_LINKS} select w.contract_key, case when coalesce(later, 0) > 0 then 'LATER_INVALID_OBSERVED' when coalesce(unclear, 0) > 0 then 'TEMPORAL_ORDER_INDETERMINATE' else 'NO_LATER_INVALID_OBSERVED' end as condition, coalesce(later, 0) as later_links, coalesce(unclear, 0) as unclear_links from valid w left join (select contract_key, count(*) filter (where relation = 'LATER') as later, count(*) filter (where relation in ('EQUAL', 'UNKNOWN')) as unclear from lk group by 1) x on w.contract_key = x.contract_key")
 def late_invalid_state(spark, d):
     """T1, J17."""
-    c = A.checked(spark, d)
-    w = A.valid(spark, d)
-    return temporal.observation_condition(w, temporal.rejection_links(w, silver.rejected(c)))
+    return temporal.observation_conditions(A.checked(spark, d))
 
 
 @_q(f", {_LINKS} select contract_key, relation, sha256(concat_ws(chr(31), contract_key, payload_sha256, relation)) as link_id from lk")
@@ -390,7 +388,7 @@ def daily_windows(spark, d):
 
 @_q("select 'admitted' as part, count(*) as keys from (select distinct user_id from events where event_id % 2 = 0 except select user_id from events where event_id % 2 = 1) union all select 'missing', count(*) from (select distinct user_id from events where event_id % 2 = 1 except select user_id from events where event_id % 2 = 0)", base=False)
 def key_set_admission(spark, d):
-    """U5, Q9."""
+    """U5."""
     e = A.table(spark, d, "events")
     a, b = e.where("event_id % 2 = 0").select("user_id").distinct(), e.where("event_id % 2 = 1").select("user_id").distinct()
     count = lambda n, df: df.agg(F.count("*").alias("keys")).select(F.lit(n).alias("part"), "keys")
@@ -457,25 +455,6 @@ def bag_difference(spark, d):
     return digest.bag_difference(o.select("o_orderstatus", "o_orderpriority"), o.where("o_orderkey % 3 = 0").select("o_orderstatus", "o_orderpriority"))
 
 
-@_q("select * from (select contract_key as value, 1::bigint as k, 'x' as side from valid) where false")
-def key_bijection(spark, d):
-    """Q7k: surrogate and natural keys stand for each other; no row."""
-    return checks.bijection(A.detail(spark, d), "entity_key", "entity_natural")
-
-
-@_q("select contract_key from valid where false")
-def fact_reconciles(spark, d):
-    """The fact against its source; no row."""
-    return checks.reconciles(star.fact(A.rows(spark, d)), A.valid(spark, d), "contract_key", ["value", "payload_sha256"])
-
-
-@_q("select 0::bigint as unknown, 'x' as dimension where false")
-def one_unknown_member(spark, d):
-    """Q7a; no row."""
-    r = A.rows(spark, d)
-    return checks.one_unknown({"entity": star.party_dim(r, "entity"), "supplier": star.party_dim(r, "supplier"), "municipality": star.label_dim(r, "municipality"), "modality": star.label_dim(r, "modality")})
-
-
 @_q("select state, count(*) as rows from (select case when u is null or trim(u) = '' then 'MISSING' when regexp_full_match(u, 'https?://[^\\s]+') then 'AVAILABLE' else 'DISALLOWED' end as state from (select case page_id % 5 when 0 then null when 1 then concat('javascript:', page_id) else url end as u from pages)) group by 1", base=False)
 def url_states(spark, d):
     """F10."""
@@ -485,7 +464,7 @@ def url_states(spark, d):
 
 @_q("select cast(json_extract_string(props, '$.k') as bigint) as k, count(*) as rows from events group by 1", base=False)
 def json_path(spark, d):
-    """X19, X22."""
+    """X19."""
     return A.table(spark, d, "events").groupBy(F.get_json_object("props", "$.k").cast("bigint").alias("k")).agg(F.count("*").alias("rows"))
 
 
