@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import dataclasses
 import datetime
+import hashlib
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ class Filters:
     selected_supplier: str | None = None
 
     def __post_init__(self):
+        if self.selected_supplier is not None and not isinstance(self.selected_supplier, str):
+            raise ValueError("MANY_SUPPLIERS")
         if self.statuses and self.exclude_statuses and set(self.statuses) & set(self.exclude_statuses):
             raise ValueError("STATUS_OVERLAP")
         if self.start and self.end and self.start >= self.end:
@@ -187,6 +191,22 @@ def quality_controls(detail: DataFrame, f: Filters = NONE, profiled: tuple[str,
     return one.selectExpr("n", f"stack({len(tests)}, {pairs}) as (control, numerator)").select("control", "numerator", F.col("n").alias("denominator"))
 
 
+def quality_grains(detail: DataFrame, f: Filters = NONE, profiled: tuple[str, ...] = ()) -> DataFrame:
+    """The controls of the publication (G), of the reference (R), and of the selected supplier's rows (S)."""
+    whole = quality_controls(detail, NONE, profiled).withColumn("grain", F.lit("G"))
+    ref = quality_controls(detail, dataclasses.replace(f, selected_supplier=None), profiled).withColumn("grain", F.lit("R"))
+    return whole.unionByName(ref).unionByName(quality_controls(detail, f, profiled).withColumn("grain", F.lit("S")))
+
+
+def entity_concentration(detail: DataFrame, f: Filters, policy: dict, digest: str, monthly: bool = False) -> DataFrame:
+    """Concentration of exactly one entity, its months pooled, under a policy whose digest is the published one."""
+    if not f.entity_keys or len(set(f.entity_keys)) != 1:
+        raise ValueError("ONE_ENTITY_REQUIRED")
+    if hashlib.sha256(json.dumps(policy, sort_keys=True, separators=(",", ":")).encode()).hexdigest() != digest:
+        raise ValueError("POLICY_CHANGED")
+    return concentration(detail, f, monthly, policy.get("min_count"), policy.get("min_value"))
+
+
 def query(metric: str, detail: DataFrame, f: Filters = NONE, limit: int = 100, offset: int = 0) -> DataFrame:
     """A bounded page of a metric in the order of its rows' text; the page size is the feature."""
     if metric not in METRICS:

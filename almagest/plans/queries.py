@@ -328,6 +328,9 @@ def snapshot_sync_counts(spark, d):
 _LINKS = "lk as (select r.contract_key, case when r.fetched_at > w.fetched_at then 'LATER' when r.fetched_at = w.fetched_at then 'EQUAL' when r.fetched_at < w.fetched_at then 'EARLIER' else 'UNKNOWN' end as relation, r.payload_sha256 from obs r join valid w on r.contract_key = w.contract_key where r.bad)"
 
 
+_BUILT = f"{_LINKS}, st as (select w.contract_key, coalesce(later, 0) as later, coalesce(unclear, 0) as unclear from valid w left join (select contract_key, count(*) filter (where relation = 'LATER') as later, count(*) filter (where relation in ('EQUAL', 'UNKNOWN')) as unclear from lk group by 1) x on w.contract_key = x.contract_key)"
+
+
 @_q(f", {_LINKS} select w.contract_key, case when coalesce(later, 0) > 0 then 'LATER_INVALID_OBSERVED' when coalesce(unclear, 0) > 0 then 'TEMPORAL_ORDER_INDETERMINATE' else 'NO_LATER_INVALID_OBSERVED' end as condition, coalesce(later, 0) as later_links, coalesce(unclear, 0) as unclear_links from valid w left join (select contract_key, count(*) filter (where relation = 'LATER') as later, count(*) filter (where relation in ('EQUAL', 'UNKNOWN')) as unclear from lk group by 1) x on w.contract_key = x.contract_key")
 def late_invalid_state(spark, d):
     """T1, J17."""

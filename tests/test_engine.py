@@ -112,6 +112,123 @@ def test_filter_failures(spark):
     assert M.query("concentration", _gold(spark), limit=3, offset=1).count() == 3
 
 
+def test_policy_and_selection_guards(spark):
+    import hashlib
+
+    policy = {"min_count": 0.5, "min_value": 0.8}
+    sha = hashlib.sha256(b'{"min_count":0.5,"min_value":0.8}').hexdigest()
+    one = M.entity_concentration(_gold(spark), M.Filters(entity_keys=("2",)), policy, sha).collect()
+    assert len(one) == 1 and one[0].hhi == 0.5
+    for f, d, code in ((M.Filters(entity_keys=("1", "2")), sha, "ONE_ENTITY_REQUIRED"), (M.NONE, sha, "ONE_ENTITY_REQUIRED"), (M.Filters(entity_keys=("2",)), "0", "POLICY_CHANGED")):
+        with pytest.raises(ValueError, match=code):
+            M.entity_concentration(_gold(spark), f, policy, d)
+    with pytest.raises(ValueError, match="MANY_SUPPLIERS"):
+        M.Filters(selected_supplier=("A", "B"))
+
+
+def test_concentration_of_values_beyond_decimals(spark):
+    big = _gold(spark).where("entity_key = '2' and supplier_key <> '?'").withColumn("value", F.lit("999999999999999999.99").cast("decimal(20,2)"))
+    r = M.concentration(big).first()
+    assert (r.hhi, r.total_value) == (0.5, D("1999999999999999999.98"))
+
+
+def test_quantiles_of_skewed_values(spark):
+    """One value far out, one value very often, few values, nulls: the ranks are exact, and no range holds nearly all."""
+    rng = __import__("random").Random(4)
+    rows = [("a", D(rng.randint(1, 10**6)) / 100) for _ in range(3000)] + [("a", D("5700000000000.00"))] + [("b", D("7.00"))] * 999 + [("b", D("9.00")), ("c", D("1.01")), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, value decimal(20,2)")
+    import statistics
+
+    got = {r.g: r for r in M.quantiles(df, ["g"]).collect()}
+    for g in "abc":
+        v = sorted(x for k, x in rows if k == g)
+        want = statistics.quantiles(v, n=4, method="inclusive") if len(v) > 1 else v * 3
+        assert [got[g].p25, got[g].median, got[g].p75] == [w.quantize(D("0.0001")) for w in want]
+    assert "d" not in got
+    v = sorted(x for _, x in rows if x is not None)
+    assert M.quantiles(df).first().median == statistics.median(v).quantize(D("0.0001"))
+    assert M.quantiles(df.limit(0)).first().median is None
+
+
+def test_digest_counts_equal_rows(spark):
+    a = spark.range(50_000).select((F.col("id") % 2).alias("k"))
+    one = digest.multiset_digest(a, ["k"]).first()
+    assert one.rows == 50_000 and one == digest.multiset_digest(a.repartition(7), ["k"]).first()
+    assert one.digest != digest.multiset_digest(a.limit(49_999), ["k"]).first().digest
+
+
+def test_unknown_place_is_not_the_unknown_member(spark):
+    from almagest.operators import star
+
+    rows = spark.createDataFrame([("UNKNOWN", "Unknown"), (None, None), ("X", "x")], "municipality_natural string, municipality string")
+    got = star.label_dim(rows, "municipality")
+    assert got.select("municipality_key").distinct().count() == got.count() == 3
+
+
+def test_batches_scope_and_first_row(spark):
+    assert temporal.batches([3, 1, 2, 3], 2) == [[1, 2], [3]] and temporal.batches([], 5) == []
+    with pytest.raises(ValueError, match="BATCH_SIZE"):
+        temporal.batches([1], 0)
+    with pytest.raises(ValueError, match="INVERTED_INTERVAL"):
+        temporal.in_scope(spark.range(1), datetime.date(2026, 1, 2), datetime.date(2026, 1, 2))
+    assert temporal.first_row(spark.range(0), "id").isEmpty()
+    b, s = (spark.createDataFrame(r, "i int, p string") for r in ([(1, "a"), (1, "a"), (2, "b")], [(1, "a"), (3, None)]))
+    once = temporal.indexed(b, s, "i", "p")
+    assert once.count() == 3 == temporal.indexed(b, once, "i", "p").count()
+
+
+def test_json_documents_of_odd_texts(spark):
+    from almagest.functions import json_docs
+
+    df = spark.createDataFrame([('{"a":null,"b":[],"c":{"d":1}}',), ("[1]",), ("no",), (None,), ('{"b":3,"c":7}',)], "t string")
+    got = df.select(json_docs.without(F.col("t"), "c").alias("w"), json_docs.listed(F.col("t"), {"b": [{"x": None}], "c": {"d": None}}).alias("l")).collect()
+    assert [json.loads(r.w) if r.w else None for r in got][0] == {"a": None, "b": []} and got[2].w is None and got[3].w is None
+    assert [r.l for r in got][0] == '{"b":[],"c":{"d":1}}' and got[3].l is None and json.loads(got[4].l) == {}
+
+
+def test_packages_are_derived_again(spark, tmp_path):
+    from almagest.sources import package
+
+    root = f"file://{tmp_path}/pkg"
+    a = spark.createDataFrame([(1, "é", D("1.50"), datetime.date(2026, 1, 2)), (2, None, None, None)], "id bigint, t string, m decimal(20,2), d date")
+    package.write_package(spark, root, {"a": a, "b": spark.range(5)})
+    assert package.package_faults(spark, root, {"a": "id"}).collect() == []
+    assert package.read_relation(spark, root, "a", ["id", "m"]).orderBy("id").collect() == [(1, D("1.50")), (2, None)]
+    assert package.read_relation(spark, root, "b", ["id"], 1, "id").collect() == [(0,)]
+    for args, code in ((("c", ["id"]), "UNKNOWN_RELATION"), (("a", ["x"]), "UNKNOWN_COLUMNS"), (("a", ["id"], 1), "LIMIT_WITHOUT_ORDER")):
+        with pytest.raises(ValueError, match=code):
+            package.read_relation(spark, root, *args)
+    assert {r.codec for r in package.footers(spark, root).collect()} == {"SNAPPY"} and package.codec_problems(spark, root, "ZSTD").count() > 0
+    file = next((tmp_path / "pkg" / "b").glob("*.parquet"))
+    spark.range(7).selectExpr("cast(id as string) as id").coalesce(1).write.option("compression", "gzip").parquet(f"{root}/b2")
+    extra = next((tmp_path / "pkg" / "b2").glob("*.parquet"))
+    extra.rename(tmp_path / "pkg" / "b" / "extra.parquet")
+    got = {(r.subject, r.fault) for r in package.package_faults(spark, root).collect()}
+    assert {("b/extra.parquet", "FILE_ADDED"), ("b", "OTHER_ROWS")} <= got and any(f == "OTHER_CODEC" for _, f in got)
+    file.unlink()
+    assert (f"b/{file.name}", "FILE_MISSING") in {(r.subject, r.fault) for r in package.package_faults(spark, root).collect()}
+    assert package.package_faults(spark, f"{root}/none").collect() == [("manifest.json", "NO_MANIFEST")]
+    like = spark.createDataFrame([], "id string")
+    assert package.read_files(spark, [str(tmp_path / "pkg" / "b" / "extra.parquet")], like, f"{root}/b").count() == 7
+    assert [len(x) for x in package.stream(spark.range(10), 30)] == [3, 3, 3, 1] and list(package.stream(spark.range(0))) == []
+    assert package.capture(spark.range(6).withColumn("v", (F.col("id") % 2).cast("string")), {"v": "1"}, f"{root}/cap").count() == 3
+
+
+def test_public_columns_and_bindings(spark):
+    from almagest.operators import evidence as EV
+
+    with pytest.raises(ValueError, match="UNKNOWN_RELATION"):
+        EV.public(spark.range(1), "x")
+    with pytest.raises(ValueError, match="MISSING_COLUMNS contract_key"):
+        EV.public(spark.range(1).withColumn("evidence", F.lit(1)), "evidence")
+    s = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("c", 2)], "contract_key string, v int")
+    assert sorted(map(tuple, EV.binding_faults(s, s.where("contract_key <> 'c'"), {"v": "v"}).collect())) == [("a", "REPEATED_KEY"), ("c", "NOT_IN_DETAIL")]
+    links = spark.createDataFrame([("k", "2", "x"), ("k", "1", "y"), ("k", "1", "y")], "contract_key string, link_id string, page string")
+    assert EV.gathered(links, ["link_id"]).collect() == [("k", [("1",), ("2",)])]
+    a = spark.createDataFrame([("a", "0")], "contract_key string, sha256 string")
+    assert EV.unmet_approvals(s, a, "contract_key", "v").collect() == [("a", "REPEATED")]
+
+
 def test_large_values_stay_exact(spark):
     df = _gold(spark).limit(1).withColumn("value", F.lit("90071992547639.96").cast("decimal(20,2)"))
     assert M.overview(df).first().total_value == D("90071992547639.96")
