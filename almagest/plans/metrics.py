@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almagest.functions import columns as C
+from almagest.sources.store import scratch_dir
 
 
 @dataclasses.dataclass(frozen=True)
@@ -70,78 +71,98 @@ class Filters:
 NONE = Filters()
 
 
-def _measures() -> list:
-    return [F.count("*").alias("contract_count"), F.coalesce(F.sum("value"), F.lit(0).cast("decimal(20,2)")).cast("decimal(38,2)").alias("total_value"), F.count_if(F.col("signing_date").isNull()).alias("missing_signing"), F.count_if(F.col("supplier_natural").isNull()).alias("unknown_supplier")]
-
-
 _QUANTILE_STATE = lambda: F.when(F.col("contract_count") == 0, "NO_CONTRACTS").when(F.col("median").isNull(), "NO_NON_NULL_VALUES").otherwise("AVAILABLE")
 STORED = ["entity_key", "municipality_key", "modality_key", "signing_month", "status_bucket"]
+#: Ranges that all values are cut into, a power of two; and distinct values of a group up to which it is one range.
+RANGES, ONE_RANGE = 1024, 1_000_000
 
 
-def overview(detail: DataFrame, f: Filters = NONE, stored: bool = False) -> DataFrame:
-    """Counts, exact totals and quantiles; pooled in one row, or at the stored grain."""
-    rows = f.selected(detail)
-    if stored:
-        return _with_quantiles(rows.groupBy(*STORED).agg(*_measures()), rows, STORED)
-    return rows.agg(*_measures()).crossJoin(quantiles(rows)).withColumn("quantile_state", _QUANTILE_STATE())  # one row each
+def _written(df: DataFrame, tag: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, tag)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def _counted(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """Rows counted by group, value and ``more``, written once: all measures and ranks of a metric are taken from it."""
+    counted = rows.groupBy(*keys, F.col("value").alias("v"), *more).agg(F.count("*").alias("n"), F.count_if(F.col("signing_date").isNull()).alias("missing"), F.count_if(F.col("supplier_natural").isNull()).alias("unknown"))
+    return _written(counted, "counted")
 
-def _with_quantiles(groups: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``groups`` with the quartiles of their rows; a null key is a value like any other."""
-    found = quantiles(rows, keys).withColumn("_g", F.struct(*keys)).drop(*keys)
-    return groups.withColumn("_g", F.struct(*keys)).join(found, "_g", "left").drop("_g").withColumn("quantile_state", _QUANTILE_STATE())
+
+def _measures() -> list:
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    total = F.coalesce(F.sum(F.col("v") * F.col("n")), F.lit(0)).cast("decimal(38,2)")
+    return [count("n").alias("contract_count"), total.alias("total_value"), count("missing").alias("missing_signing"), count("unknown").alias("unknown_supplier")]
 
 
-#: Ranges that all values are cut into; a power of two.
-RANGES = 1024
+def overview(detail: DataFrame, f: Filters = NONE, stored: bool = False) -> DataFrame:
+    """Counts, exact totals and quantiles; pooled in one row, or at the stored grain."""
+    keys = STORED if stored else []
+    return _grouped(_counted(f.selected(detail), keys), keys, _measures()).withColumn("quantile_state", _QUANTILE_STATE())
 
 
 def quantiles(rows: DataFrame, keys: list[str] | None = None, value: str = "value") -> DataFrame:
-    """Exact quartiles of each group in one row, or of all rows, without a task that holds all values of a group.
+    """Exact quartiles of each group, or of all rows in one row; null where a group has no value."""
+    keys = keys or []
+    return _grouped(_written(rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("n")), "counted"), keys, [])
+
+
+def _grouped(counted: DataFrame, keys: list[str], measures: list) -> DataFrame:
+    """``keys``, ``measures`` and the quartiles of ``v``, each row of ``counted`` standing for ``n``.
 
-    Values are counted, and cut into ranges at quantiles of a sketch, so a
-    range holds its share of the values however skewed they are. The counts of
-    a group's ranges are summed in a table of ``RANGES`` rows a group at most;
-    only the ranges that hold a wanted rank are sorted.
+    No task holds all values of a large group. Groups of up to ``ONE_RANGE``
+    values are ranked by one window. If there is a larger one, values are cut
+    into ranges at quantiles of a sketch, so a range holds its share however
+    skewed the values are; the counts of a group's ranges are summed in a table
+    of ``RANGES`` rows a group at most; and only the ranges that hold a wanted
+    rank are sorted. A null key is a value like any other.
     """
     from pyspark.sql import Window
 
-    keys = keys or []
-    group = F.struct(F.lit(0).alias("all_rows"), *keys)
-    counts = rows.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    def quartiles():
+        def at(p: int):
+            h = (F.col("_all") - 1) * p
+            low, high = F.floor(h / 4).cast("bigint"), F.ceil(h / 4).cast("bigint")
+            pick = lambda r: F.max(F.when((r >= F.col("_from")) & (r < F.col("_to")), F.col("v")))
+            a, b = pick(low), pick(high)
+            rest = F.max((h % 4).cast("decimal(10,0)"))
+            return (a + ((b - a) * rest / F.lit(4).cast("decimal(10,0)")).cast("decimal(24,4)")).cast("decimal(24,4)")
+
+        return [at(1).alias("p25"), at(2).alias("median"), at(3).alias("p75")]
+
+    most = counted.groupBy(*keys).agg(F.count("v").alias("k")).agg(F.max("k")).first()[0] or 0
+    held = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    if most <= ONE_RANGE:
+        ranked = counted.withColumn("_all", F.sum(held).over(group)).withColumn("_to", F.sum(held).over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("_from", F.col("_to") - held)
+        return ranked.groupBy(*keys).agg(*measures, *quartiles())
+    counts = counted.where("v is not null").groupBy(F.struct(F.lit(0).alias("all_rows"), *keys).alias("_g"), "v").agg(F.sum("n").alias("n"))
     cuts = counts.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("_cuts"))  # one row
     # binary search: the number of cuts below the value
     steps = ",".join(str(RANGES >> i) for i in range(1, RANGES.bit_length()))
     part = F.expr(f"aggregate(array({steps}), 0, (at, step) -> if(_cuts[at + step - 1] < v, at + step, at))")
-    placed = counts.crossJoin(F.broadcast(cuts)).withColumn("part", part).drop("_cuts")
-    ranges = placed.groupBy("_g", "part").agg(F.sum("n").alias("m"))
-    by_part = Window.partitionBy("_g").orderBy("part")
-    ranges = ranges.withColumn("before", F.sum("m").over(by_part) - F.col("m")).withColumn("all", F.sum("m").over(Window.partitionBy("_g")))
-    wanted = F.array(*[F.floor((F.col("all") - 1) * p / 4).cast("bigint") for p in (1, 2, 3)], *[F.ceil((F.col("all") - 1) * p / 4).cast("bigint") for p in (1, 2, 3)])
-    ranges = ranges.where(F.exists(wanted, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("m")))).drop("m")
-    ranked = placed.join(ranges, ["_g", "part"])
-    run = F.sum("n").over(Window.partitionBy("_g", "part").orderBy("v"))
-    ranked = ranked.withColumn("to", F.col("before") + run).withColumn("from", F.col("to") - F.col("n"))
-
-    def at(p: int):
-        h = (F.col("all") - 1) * p
-        low, high = F.floor(h / 4).cast("bigint"), F.ceil(h / 4).cast("bigint")
-        pick = lambda r: F.max(F.when((r >= F.col("from")) & (r < F.col("to")), F.col("v")))
-        a, b = pick(low), pick(high)
-        rest = F.max((h % 4).cast("decimal(10,0)"))
-        return (a + ((b - a) * rest / F.lit(4).cast("decimal(10,0)")).cast("decimal(24,4)")).cast("decimal(24,4)")
-
-    out = [at(1).alias("p25"), at(2).alias("median"), at(3).alias("p75")]
-    return ranked.groupBy("_g").agg(*out).select(*[F.col(f"_g.{k}").alias(k) for k in keys], "p25", "median", "p75") if keys else ranked.agg(*out)
+    placed = counts.crossJoin(F.broadcast(cuts)).withColumn("_part", part).drop("_cuts")
+    ranges = placed.groupBy("_g", "_part").agg(F.sum("n").alias("_m"))
+    ranges = ranges.withColumn("_before", F.sum("_m").over(Window.partitionBy("_g").orderBy("_part")) - F.col("_m")).withColumn("_all", F.sum("_m").over(Window.partitionBy("_g")))
+    wanted = F.array(*[g((F.col("_all") - 1) * p / 4).cast("bigint") for p in (1, 2, 3) for g in (F.floor, F.ceil)])
+    ranges = ranges.where(F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m")))).drop("_m")
+    ranked = placed.join(ranges, ["_g", "_part"])
+    ranked = ranked.withColumn("_to", F.col("_before") + F.sum("n").over(Window.partitionBy("_g", "_part").orderBy("v"))).withColumn("_from", F.col("_to") - F.col("n"))
+    found = ranked.groupBy("_g").agg(*quartiles())
+    groups = counted.groupBy(F.struct(F.lit(0).alias("all_rows"), *keys).alias("_g")).agg(*(measures or [F.count("*").alias("_rows")])) if keys else counted.agg(*(measures or [F.count("*").alias("_rows")])).withColumn("_g", F.struct(F.lit(0).alias("all_rows")))
+    out = groups.join(found, "_g", "left")
+    return out.select(*[F.col(f"_g.{k}").alias(k) for k in keys], *[c for c in out.columns if c not in ("_g", "_rows")])
 
 
 def entity_monthly(detail: DataFrame, f: Filters = NONE) -> DataFrame:
     """Per entity and month, with the contracts of each status as a sorted map."""
-    rows = f.selected(detail)
+    from pyspark.sql import Window
+
     keys = ["entity_key", "signing_month"]
-    by = rows.groupBy(*keys, "status_bucket").agg(F.count("*").alias("n"), F.sum("value").alias("v"))
-    out = by.groupBy(*keys).agg(F.sum("n").alias("contract_count"), F.coalesce(F.sum("v"), F.lit(0)).cast("decimal(38,2)").alias("total_value"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("status_bucket", "n")))).alias("statuses"))
-    return _with_quantiles(out, rows, keys)
+    counted = _counted(f.selected(detail), keys, "status_bucket")
+    counted = counted.withColumn("_s", F.sum("n").over(Window.partitionBy(*keys, "status_bucket")))
+    made = [*_measures()[:2], F.map_from_entries(F.array_sort(F.collect_set(F.struct("status_bucket", F.col("_s").alias("n"))))).alias("statuses")]
+    return _grouped(counted, keys, made).withColumn("quantile_state", _QUANTILE_STATE())
 
 
 def shares(detail: DataFrame, f: Filters = NONE) -> DataFrame:

@@ -132,8 +132,10 @@ def test_concentration_of_values_beyond_decimals(spark):
     assert (r.hhi, r.total_value) == (0.5, D("1999999999999999999.98"))
 
 
-def test_quantiles_of_skewed_values(spark):
-    """One value far out, one value very often, few values, nulls: the ranks are exact, and no range holds nearly all."""
+@pytest.mark.parametrize("one_range", [10**6, 0])
+def test_quantiles_of_skewed_values(spark, monkeypatch, one_range):
+    """One value far out, one value very often, few values, nulls: the ranks are exact, in one range and in many."""
+    monkeypatch.setattr(M, "ONE_RANGE", one_range)
     rng = __import__("random").Random(4)
     rows = [("a", D(rng.randint(1, 10**6)) / 100) for _ in range(3000)] + [("a", D("5700000000000.00"))] + [("b", D("7.00"))] * 999 + [("b", D("9.00")), ("c", D("1.01")), ("d", None)]
     df = spark.createDataFrame(rows, "g string, value decimal(20,2)")
@@ -144,7 +146,7 @@ def test_quantiles_of_skewed_values(spark):
         v = sorted(x for k, x in rows if k == g)
         want = statistics.quantiles(v, n=4, method="inclusive") if len(v) > 1 else v * 3
         assert [got[g].p25, got[g].median, got[g].p75] == [w.quantize(D("0.0001")) for w in want]
-    assert "d" not in got
+    assert (got["d"].p25, got["d"].median) == (None, None)
     v = sorted(x for _, x in rows if x is not None)
     assert M.quantiles(df).first().median == statistics.median(v).quantize(D("0.0001"))
     assert M.quantiles(df.limit(0)).first().median is None
