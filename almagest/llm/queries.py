@@ -14,6 +14,7 @@ PIECE_MODEL = os.environ.get("ALMAGEST_PIECE_MODEL", "piece_bpe_32k.model")
 
 
 def piece_model() -> str:
+    """Path of the model file: as set, or where the installed package of public tokenizers has it."""
     if os.path.sep in PIECE_MODEL:
         return PIECE_MODEL
     import public_tokenizers
@@ -22,44 +23,54 @@ def piece_model() -> str:
 
 
 def op1_chat_format(spark, sf_dir):
+    """Maximal conversations of ``conversations``, rendered; see ``chat.format_chats``."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
 def op2_sentencepiece(spark, sf_dir):
+    """Ids and decoded text of every document, as digests; see ``pieces.encode_texts``."""
     return pieces.encode_texts(spread(table(spark, sf_dir, "documents")), piece_model())
 
 
 def op3_toxicity(spark, sf_dir):
+    """A toxicity score for every document; see ``toxicity.toxicity``."""
     return toxicity.toxicity(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op4_decontamination(spark, sf_dir):
+    """Benchmark passages in every document; see ``winnow.decontaminate``."""
     return winnow.decontaminate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op5_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate group of every document; see ``simhash.near_duplicates``."""
     return simhash.near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 def op6_language_id(spark, sf_dir):
+    """Language of every document; see ``langid.identify``."""
     return langid.identify(spread(table(spark, sf_dir, "documents")))
 
 
 def op7_line_dedup(spark, sf_dir):
+    """Lines and dropped lines of every document; see ``line_dedup.line_report``."""
     return line_dedup.line_report(spread(table(spark, sf_dir, "documents")))
 
 
 def op8_warc_revisits(spark, sf_dir):
+    """Every revisit of a log made of ``pages``, resolved; see ``warc.page_captures`` and ``warc.resolve_revisits``."""
     out = warc.resolve_revisits(warc.page_captures(spread(table(spark, sf_dir, "pages"))))
     header = lambda n: F.element_at("headers", n)
     return out.select("record_id", "canonical_url", "state", "source_id", header("etag").alias("etag"), header("content-type").alias("content_type"), header("date").alias("header_date"), F.sha2("payload", 256).alias("payload_sha256"))
 
 
 def op9_html_extraction(spark, sf_dir):
+    """Main text of every page; see ``html_extract.extract``."""
     return html_extract.extract(spread(table(spark, sf_dir, "pages")))
 
 
 def op10_exact_dedup(spark, sf_dir):
+    """Exact-duplicate group of every document; see ``exact_dedup.exact_duplicates``."""
     return exact_dedup.exact_duplicates(spread(table(spark, sf_dir, "documents")))
 
 

@@ -471,6 +471,15 @@ def test_chats(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chats_of_long_texts_and_clashing_columns(spark):
+    """A turn of a million words stays whole; names of working columns may be taken; a prefix of thousands of copies goes."""
+    long = "word " * 1_000_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", "ok")] + [(10 + c, 0, "user", long) for c in range(3)] + [(1000 + c, 0, "user", "hi") for c in range(2000)] + [(5000, 0, "user", "hi"), (5000, 1, "assistant", "yo")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").selectExpr("*", "'k' as key", "1 as n", "true as last", "2 as _pos")
+    got = {r.conv_id: r for r in chat.format_chats(df).collect()}
+    assert set(got) == {1, 5000} and len(got[1].rendered) == len(long) + len("<|user|>\n\n<|end|>\n<|assistant|>\nok\n<|end|>\n")
+
+
 def test_revisits(spark):
     rows = [("r1", "http://A.com:80/x?b=1&a=2#f", "2024-01-01 00:00:00", "response", 200, {"etag": '"1"', "content-type": "t", "date": "d1"}, b"one"), ("r2", "http://a.com/x?a=2&b=1", "2024-01-05 00:00:00", "response", 200, {"etag": 'W/"2"', "date": "d2"}, b"two"), ("r3", "http://a.com/x?a=2&b=1", "2024-01-06 00:00:00", "response", 500, {}, b"err")]
     rev = [("v1", "2024-01-01 05:00:00", {"etag": '"1"', "content-type": "no", "date": "n"}), ("v2", "2024-01-09 00:00:00", {"etag": '"2"'}), ("v3", "2024-01-09 00:00:01", {"etag": '"1"'}), ("v4", "2023-01-01 00:00:00", {"etag": '"1"'}), ("v5", "2024-01-09 00:00:02", {}), ("v6", "2024-01-05 00:00:00", {"etag": '"1"'})]
