@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -33,3 +34,27 @@ def test_presentation(spark):
 def test_command_line(capsys):
     assert main(["list"]) == 0 and "silver_counts\t" in capsys.readouterr().out
     assert main(["run", "nothing", "--data", "x"]) == 2
+
+
+def test_commands_on_folders(spark, tmp_path, capsys):
+    from almagest.sources import package, runs, store
+
+    root = f"file://{tmp_path}"
+    text = '[{"k":1}]'
+    page = {"path": "p.json", "sha256": hashlib.sha256(text.encode()).hexdigest(), "rows": 1}
+    (tmp_path / "runs" / "a").mkdir(parents=True)
+    (tmp_path / "runs" / "a" / "p.json").write_text(text)
+    store.write_text(spark, f"{root}/runs/a/manifest.json", runs.manifest("a", "d", "c", [page], "prepared"))
+    assert main(["runs", f"{root}/runs", "--dataset", "d"]) == 0 and capsys.readouterr().out == ""
+    assert main(["runs", f"{root}/runs", "--dataset", "d", "--recover"]) == 0 and capsys.readouterr().out == "SETTLED a\na\t1 pages\t1 rows\n"
+    assert main(["runs", f"{root}/runs", "--dataset", "e"]) == 1 and "OTHER_DATASET" in capsys.readouterr().err
+    (tmp_path / "runs" / "a" / "p.json").write_text("[{}]")
+    assert main(["runs", f"{root}/runs", "--dataset", "d"]) == 1 and "PAGE_HASH a/p.json" in capsys.readouterr().err
+    package.write_package(spark, f"{root}/pkg", {"t": spark.range(3)})
+    assert main(["verify", f"{root}/pkg"]) == 0
+    next((tmp_path / "pkg" / "t").glob("*.parquet")).unlink()
+    assert main(["verify", f"{root}/pkg"]) == 1 and "FILE_MISSING t/" in capsys.readouterr().err
+    held = store.VersionStore(spark, f"{root}/store")
+    a, b = held.publish(spark.range(1)), held.publish(spark.range(2))
+    assert main(["versions", f"{root}/store", "--activate", a, "--expect", b]) == 0 and f"* {a}" in capsys.readouterr().out
+    assert main(["versions", f"{root}/store", "--activate", a, "--expect", b]) == 1 and "CURRENT_CHANGED" in capsys.readouterr().err
