@@ -21,7 +21,7 @@ from .common import crc_mod, held, materialize, tidy
 
 #: Most training rows, chosen by a hash of their id within each language.
 TRAIN_ROWS_PER_LANG = 600
-#: Training rows of all languages (32 KB each in the driver) up to which each may have its most; but each has one at least.
+#: Training rows of all languages up to which each may have its most; but each has one at least.
 TRAIN_ROWS = 12_000
 #: Languages up to which their counts and training ids are broadcast.
 BROADCAST_LANGS = 100_000
@@ -123,20 +123,13 @@ def _clusters(v, k: int, rounds: int):
     return c
 
 
-def _clean(v, kinds, langs: list[str]):
-    """Rows that look like their own language: nearest to its mean, twice over."""
-    import numpy as np
-
-    ok = np.ones(len(v), dtype=bool)
-    own = np.searchsorted(np.array(langs, dtype=object), kinds) if len(v) else kinds
-    for _ in range(2):
-        means = _unit(np.array([v[ok & (own == i)].mean(axis=0) if (ok & (own == i)).any() else v[own == i].mean(axis=0) for i in range(len(langs))]))
-        ok = (v @ means.T).argmax(axis=1) == own
-    return ok
-
-
 def train(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG, k: int = CENTROIDS) -> dict:
-    """Centroids from text and language of rows whose crc32 remainder is not 2."""
+    """Centroids from text and language of rows whose crc32 remainder is not 2.
+
+    The driver holds the training rows' sparse counts and one language's
+    matrix at a time. Rows that do not look like their own language, by the
+    nearest mean, twice over, take no part in the clusters.
+    """
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,24 +138,41 @@ def train(docs: DataFrame, per_lang: int = TRAIN_ROWS_PER_LANG, k: int = CENTROI
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.string()), pa.array([np.flatnonzero(n).astype(np.int16) for _, n in got], pa.list_(pa.int16())), pa.array([n[n > 0].astype(np.int32) for _, n in got], pa.list_(pa.int32()))], names=["lang", "at", "n"])
 
     got = _training(docs, per_lang).select("lang", "text").mapInArrow(tidy(run), "lang string, at array<short>, n array<int>").toArrow()
-    names = got.column("lang").to_pylist()
-    m = np.zeros((len(names), DIMS), dtype=np.float32)
-    for i, (at, n) in enumerate(zip(got.column("at"), got.column("n"), strict=True)):
-        m[i, np.array(at.as_py(), dtype=np.int64)] = n.as_py()
-    idf = (np.log((1 + len(m)) / (1 + np.count_nonzero(m, axis=0))) + 1).astype(np.float32)
-    v = np.log1p(m, out=m)  # in place: the driver holds one matrix
-    v *= idf
-    v /= np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)[:, None]
-    model = {"idf": idf, "langs": [], "centroids": np.zeros((0, DIMS), dtype=np.float32), "of": np.zeros(0, dtype=np.int64), "floor": {}}
-    kinds, langs = np.array(names, dtype=object), sorted(set(names))
-    ok = _clean(v, kinds, langs) if langs else np.zeros(0, dtype=bool)
-    for lang in langs:
-        own = v[kinds == lang]
-        c = _clusters(v[(kinds == lang) & ok] if ((kinds == lang) & ok).any() else own, k, ROUNDS)
-        model["floor"][lang] = float(np.quantile((own @ c.T).max(axis=1), REJECT))
-        model["of"] = np.concatenate([model["of"], np.full(len(c), len(model["langs"]))])
-        model["langs"].append(lang)
-        model["centroids"] = np.concatenate([model["centroids"], c.astype(np.float32)])
+    rows: dict[str, list] = {}
+    held_by = np.zeros(DIMS, dtype=np.int64)
+    for lang, at, n in zip(got.column("lang").to_pylist(), got.column("at"), got.column("n"), strict=True):
+        at, n = np.array(at.as_py(), dtype=np.int64), np.array(n.as_py(), dtype=np.float32)
+        held_by[at] += 1
+        rows.setdefault(lang, []).append((at, np.log1p(n)))
+    langs = sorted(rows)
+    idf = (np.log((1 + got.num_rows) / (1 + held_by)) + 1).astype(np.float32)
+
+    def matrix(lang: str):
+        v = np.zeros((len(rows[lang]), DIMS), dtype=np.float32)
+        for i, (at, w) in enumerate(rows[lang]):
+            v[i, at] = w * idf[at]
+        return v / np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)[:, None]
+
+    means = _unit(np.array([matrix(x).mean(axis=0) for x in langs])) if langs else None
+    own = {}
+    for last in (False, True):
+        near = []
+        for i, lang in enumerate(langs):
+            v = matrix(lang)
+            ok = (v @ means.T).argmax(axis=1) == i
+            own[lang] = ok if ok.any() else np.ones(len(v), dtype=bool)
+            near.append(v[own[lang]].mean(axis=0) if not last else None)
+        means = _unit(np.array(near)) if langs and not last else means
+    model = {"idf": idf, "langs": langs, "centroids": np.zeros((0, DIMS), dtype=np.float32), "of": np.zeros(0, dtype=np.int64), "floor": {}}
+    parts = []
+    for i, lang in enumerate(langs):
+        v = matrix(lang)
+        c = _clusters(v[own[lang]], k, ROUNDS)
+        model["floor"][lang] = float(np.quantile((v @ c.T).max(axis=1), REJECT))
+        model["of"] = np.concatenate([model["of"], np.full(len(c), i)])
+        parts.append(c.astype(np.float32))
+    if parts:
+        model["centroids"] = np.concatenate(parts)
     return model
 
 
