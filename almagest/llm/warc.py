@@ -28,6 +28,8 @@ from .common import materialize
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that only track.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)"
+#: Responses that revisits take their payload from, up to which their numbers are broadcast (8 bytes each).
+BROADCAST_SOURCES = 1_000_000
 RECORD = "record_id string, url string, ts timestamp, kind string, status int, headers map<string,string>, payload binary"
 
 
@@ -71,7 +73,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "record_id", "url", "ts", curl.alias("curl"), t.alias("t"), F.floor(t / 3_600_000_000).alias("hour"), full.alias("full"), _validator("etag").alias("etag"), _validator("last-modified").alias("modified"), "headers",
         F.when(full, F.col("payload")).alias("payload"), F.when(full, F.xxhash64("payload", F.array_sort(F.map_entries("headers")))).alias("digest"),
     )
-    rows = materialize(rows, "warc-rows")  # the numbers are set once
+    rows = materialize(rows, "warc-rows", compression="zstd")  # the numbers are set once
     ref = F.when(F.col("full"), F.struct("t", "record_id", "etag", "modified", "digest", "row"))
     slim = rows.select("row", "record_id", "curl", "t", "hour", "full", "etag", "modified", ref.alias("ref"), *[F.when(~F.col("full"), F.col(c)).alias(n) for c, n in (("url", "url"), ("ts", "ts"), ("headers", "own_headers"))])
     placed = slim.where(F.col("curl").isNotNull() & F.col("t").isNotNull())
@@ -90,8 +92,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         .otherwise("VALIDATOR_MISMATCH")
     )
     found = found.select("record_id", "url", F.col("curl").alias("canonical_url"), "ts", "own_headers", state.alias("state"), F.col("src.record_id").alias("source_id"), F.when(state == "RESOLVED", F.col("src.row")).alias("from_row"))
+    found = materialize(found, "warc-found")  # without payloads
     source = rows.where("full").select("row", F.col("headers").alias("src_headers"), "payload")
-    out = found.join(source, F.col("from_row") == F.col("row"), "left")
+    wanted = found.where("from_row is not null").select("from_row").distinct()
+    if wanted.count() <= BROADCAST_SOURCES:  # a checked size; only payloads that are asked for are shuffled
+        source = source.join(F.broadcast(wanted), F.col("row") == F.col("from_row"), "left_semi")
+    out = found.where("from_row is not null").join(source, F.col("from_row") == F.col("row"))
+    out = out.unionByName(found.where("from_row is null"), allowMissingColumns=True)
     allowed = F.map_filter("own_headers", lambda k, v: k.isin(*PERMITTED) & v.isNotNull())
     kept = F.map_filter("src_headers", lambda k, v: ~F.coalesce(F.map_contains_key(allowed, k), F.lit(False)))
     merged = F.when(F.col("state") == "RESOLVED", F.map_concat(F.coalesce(kept, F.create_map().cast("map<string,string>")), F.coalesce(allowed, F.create_map().cast("map<string,string>")))).otherwise(F.col("own_headers"))

@@ -490,8 +490,10 @@ def test_revisits(spark):
     assert got["v1"].headers == {"etag": '"1"', "content-type": "t", "date": "n"} and bytes(got["v1"].payload) == b"one"
 
 
-def test_revisits_with_null_and_repeated_ids(spark):
+@pytest.mark.parametrize("sources", [10**6, 0])
+def test_revisits_with_null_and_repeated_ids(spark, monkeypatch, sources):
     """One row for each revisit, whatever the ids; a response is found by its row, not by its id."""
+    monkeypatch.setattr(warc, "BROADCAST_SOURCES", sources)
     shape = "record_id string, url string, ts string, kind string, status int, headers map<string,string>, payload binary"
     hit = lambda i, p: (i, "http://a.com/x", "2024-01-01 00:00:00", "response", 200, {"etag": "1", "x": p.decode()}, p)
     again = lambda i, tag="1": (i, "http://a.com/x", "2024-01-02 00:00:00", "revisit", 304, {"etag": tag}, None)
