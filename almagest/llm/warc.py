@@ -29,7 +29,7 @@ PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expire
 #: Query parameters that only track.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)"
 #: Responses that revisits take their payload from, up to which their numbers are broadcast (8 bytes each).
-BROADCAST_SOURCES = 1_000_000
+BROADCAST_SOURCES = 10_000
 RECORD = "record_id string, url string, ts timestamp, kind string, status int, headers map<string,string>, payload binary"
 
 
