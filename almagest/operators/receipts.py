@@ -40,3 +40,17 @@ def acquisition_lanes(receipts: DataFrame, coverage: str = "coverage", reason: s
 def quality_mart(receipts: DataFrame) -> DataFrame:
     """All controls of the receipts ``summary, coverage, coverage_state``."""
     return run_counts(receipts).unionByName(verified(receipts)).unionByName(acquisition_lanes(receipts))
+
+
+_SCOPE = "state string, basis string, scope struct<signing_from:string,signing_to:string>, limitations array<string>, acquisitions array<struct<campaign_id:string,state:string,truncated:boolean,scope_scan_complete:boolean>>"
+
+
+def coverage_metadata(receipts: DataFrame, coverage: str = "coverage") -> DataFrame:
+    """``state, signing_from, signing_to, acquisitions, limitations`` of coverage receipts, the last two as text, a line each.
+
+    A receipt that is no JSON, and what it lacks, is null; it is never worded as if it were complete.
+    """
+    c = receipts.select(F.from_json(coverage, _SCOPE).alias("c"))
+    flag = lambda x, yes, no: F.when(x, yes).when(~x, no).otherwise("not stated")
+    line = lambda a: F.concat(F.coalesce(a["campaign_id"], F.lit("?")), F.lit(": "), F.coalesce(a["state"], F.lit("not stated")), F.lit(", scan "), flag(a["scope_scan_complete"], "complete", "partial"), F.lit(", "), flag(a["truncated"], "truncated", "whole"))
+    return c.select("c.state", "c.scope.signing_from", "c.scope.signing_to", F.array_join(F.transform("c.acquisitions", line), "\n").alias("acquisitions"), F.array_join("c.limitations", "\n").alias("limitations"))

@@ -6,9 +6,9 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from almagest.functions import json_docs
+from almagest.functions import codecs, json_docs, presentation
 from almagest.operators import evidence as EV
-from almagest.operators import silver, temporal
+from almagest.operators import receipts, silver, temporal
 from almagest.plans import adapter as A
 from almagest.plans import metrics as M
 from almagest.plans.audits import _first
@@ -153,3 +153,41 @@ def overview_of_a_month(spark, d):
     f = M.Filters(start=datetime.date(1995, 3, 1), end=datetime.date(1995, 4, 1))
     rows = f.selected(A.detail(spark, d))
     return rows.agg(F.count("*").alias("contract_count"), F.coalesce(F.sum("value"), F.lit(0)).cast("decimal(38,2)").alias("total_value"), F.min("signing_date").alias("first_day"))
+
+
+#: Receipts of two runs: one assessed, one not.
+_SUMMARY = '{"state": "AVAILABLE", "counts": {"input_observations": 10, "rejected_observations": 2}, "controls": [{"check_id": "K", "affected_rows": 1, "denominator": 8, "denominator_grain": "contracts", "passed": false, "severity": "CRITICAL"}]}'
+_COVERAGE = '{"state": "COVERED", "scope": {"signing_from": "2026-01-01", "signing_to": "2026-04-01"}, "limitations": ["one"], "acquisitions": [{"campaign_id": "c1", "state": "COMPLETE", "truncated": false, "scope_scan_complete": true}, {"campaign_id": "c2", "state": "PARTIAL"}]}'
+
+
+def _receipts(spark):
+    return spark.createDataFrame([(_SUMMARY, _COVERAGE, "COVERED"), ('{"state": "UNAVAILABLE"}', "{}", None)], "summary string, coverage string, coverage_state string")
+
+
+@_q("""select * from (values ('input_observations', 10::bigint, 10::bigint, 'OBSERVATION', 'AVAILABLE', null), ('rejected_observations', 2, 10, 'OBSERVATION', 'AVAILABLE', null), ('K', 1, 8, 'contracts', 'FAILED', 'CRITICAL'),
+ ('acquisition:c1:truncated', 0, 1, 'ACQUISITION_LANE', 'COMPLETE', 'COVERED'), ('acquisition:c1:scope_scan_complete', 1, 1, 'ACQUISITION_LANE', 'COMPLETE', 'COVERED'), ('acquisition:c1:baseline_check_complete', 0, 1, 'ACQUISITION_LANE', 'COMPLETE', 'COVERED'),
+ ('acquisition:c2:truncated', 0, 1, 'ACQUISITION_LANE', 'PARTIAL', 'COVERED'), ('acquisition:c2:scope_scan_complete', 0, 1, 'ACQUISITION_LANE', 'PARTIAL', 'COVERED'), ('acquisition:c2:baseline_check_complete', 0, 1, 'ACQUISITION_LANE', 'PARTIAL', 'COVERED'),
+ ('input_observations', null, null, 'OBSERVATION', 'UNAVAILABLE', null), ('accepted_valid_observations', null, null, 'OBSERVATION', 'UNAVAILABLE', null), ('output_contracts', null, null, 'OBSERVATION', 'UNAVAILABLE', null), ('rejected_observations', null, null, 'OBSERVATION', 'UNAVAILABLE', null), ('exact_duplicates', null, null, 'OBSERVATION', 'UNAVAILABLE', null), ('superseded_valid_observations', null, null, 'OBSERVATION', 'UNAVAILABLE', null)) t(control, numerator, denominator, grain, state, reason)""", base=False)
+def receipt_controls(spark, d):
+    """Controls of the receipts of two runs."""
+    return receipts.quality_mart(_receipts(spark))
+
+
+@_q("""select * from (values ('COVERED', '2026-01-01', '2026-04-01', 'c1: COMPLETE, scan complete, whole' || chr(10) || 'c2: PARTIAL, scan not stated, not stated', 'one'), (null, null, null, null, null)) t(state, signing_from, signing_to, acquisitions, limitations)""", base=False)
+def coverage_metadata(spark, d):
+    """Scope and acquisitions of coverage receipts as text."""
+    return receipts.coverage_metadata(_receipts(spark))
+
+
+@_q("select unnest(['o_orderkey', 'o_orderstatus', 'o_totalprice', 'day', 'at']) as \"column\", unnest(['int64', 'text', 'decimal', 'date', 'wall-clock-us']) as codec, unnest([count(o_orderkey), count(o_orderstatus), count(o_totalprice), count(o_orderdate), count(o_orderdate)]) as cells, 0::bigint as faults from orders", base=False)
+def codec_faults(spark, d):
+    """Cells that do not come back equal from their text."""
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(20,2)").alias("o_totalprice"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+    return codecs.codec_faults(o)
+
+
+@_q("select contract_key, case when coalesce(later, 0) > 0 then 'a later invalid observation, ' || later || ' later' when coalesce(unclear, 0) > 0 then 'order cannot be told' else 'no later invalid observation' end || case when coalesce(unclear, 0) > 0 then ', ' || unclear || ' of unclear order' else '' end as condition_text from (select v.contract_key, later, unclear from valid v left join (select contract_key, count(*) filter (where relation = 'LATER') as later, count(*) filter (where relation in ('EQUAL', 'UNKNOWN')) as unclear from lk group by 1) x on v.contract_key = x.contract_key)".replace("select contract_key, case", f", {_LINKS} select contract_key, case", 1))
+def condition_texts(spark, d):
+    """Conditions worded for readers."""
+    c = temporal.observation_conditions(A.checked(spark, d))
+    return c.select("contract_key", presentation.condition_text(F.col("condition"), F.col("later_links"), F.col("unclear_links")).alias("condition_text"))

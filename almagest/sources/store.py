@@ -195,6 +195,10 @@ class VersionStore:
         except Exception as error:
             raise ValueError("CURRENT_CHANGED") from error
 
+    def reload(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Replace all that the current version holds; readers see the old rows until the new ones are whole."""
+        return self.publish(df, partition_by, self.current())
+
     def read(self, version: str | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/versions/{version or self.current()}")
 
