@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from almagest.functions import columns as C
 from almagest.operators import silver, star
-from almagest.sources.store import scratch_dir
+from almagest.sources.store import scratch_dir, spread
 
 
 #: Codes and places as the source writes them; the same text is SQL for both engines.
@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table out if it is read in fewer splits than there are cores.
-
-    A file of one row group is one task, however many cores wait. Tables of
-    any size worth a cluster have more splits and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An observation for each order line; sizes decide which joins are broadcast."""
     line, orders, cust, supp, nation, region = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation", "region"))

@@ -41,13 +41,16 @@ class Filters:
             raise ValueError("MISSING_SIGNATURE_WITH_INTERVAL")
 
     def check_keys(self, detail: DataFrame) -> None:
-        """Fail with UNKNOWN_<ROLE>_KEY if a key is no member; looks for the named keys only."""
-        for role in ("entity", "municipality", "modality", "supplier"):
-            asked = (self.selected_supplier,) if role == "supplier" and self.selected_supplier else getattr(self, f"{role}_keys", None)
-            if asked:
-                found = {r[0] for r in detail.where(F.col(f"{role}_key").isin(*asked)).select(f"{role}_key").distinct().collect()}
-                if set(asked) - found:
-                    raise ValueError(f"UNKNOWN_{role.upper()}_KEY")
+        """Fail with UNKNOWN_<ROLE>_KEY if a key is no member; one pass looks for all named keys, and for no others."""
+        asked = {r: tuple(k) for r in ("entity", "municipality", "modality") if (k := getattr(self, f"{r}_keys"))}
+        if self.selected_supplier:
+            asked["supplier"] = (self.selected_supplier,)
+        if not asked:
+            return
+        found = detail.agg(*[F.collect_set(F.when(F.col(f"{r}_key").isin(*keys), F.col(f"{r}_key"))).alias(r) for r, keys in asked.items()]).first()
+        for role, keys in asked.items():
+            if set(keys) - set(found[role]):
+                raise ValueError(f"UNKNOWN_{role.upper()}_KEY")
 
     def reference(self, d: DataFrame) -> DataFrame:
         for name, col in (("entity_keys", "entity_key"), ("municipality_keys", "municipality_key"), ("modality_keys", "modality_key"), ("statuses", "status_bucket")):

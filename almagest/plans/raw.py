@@ -9,6 +9,7 @@ from almagest.functions import columns as C
 from almagest.operators import silver
 from almagest.plans import adapter as A
 from almagest.plans.queries import _RESULTS, _q
+from almagest.sources.store import spread
 
 #: Raw cells; the same text is SQL for both engines but for ``{day}``, a date as text, and ``{text}``, the type of a text.
 CELLS = {
@@ -34,7 +35,7 @@ def _cells(text: str, day: str) -> dict[str, str]:
 def raw_rows(spark, d: str) -> DataFrame:
     """Text cells of every order line, with its key."""
     line, orders, cust, nation = (A.table(spark, d, t) for t in ("lineitem", "orders", "customer", "nation"))
-    rows = A.spread(line.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")).join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = spread(line.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")).join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(cust.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"), "left").join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     cells = _cells("string", "date_format({}, 'yyyy-MM-dd')")
     return rows.select("l_orderkey", "l_linenumber", *[F.expr(v).alias(k) for k, v in cells.items()])
@@ -93,6 +94,13 @@ def rejection_code_sets(spark, d):
     return silver.rejected(annotated(spark, d)).groupBy(F.array_join("rejection_codes", ",").alias("codes")).agg(F.count("*").alias("rows"))
 
 
+@_q(f"with {RAW}, c as (select list(distinct r.code) as codes from rej group by rid) select list_has_any(codes, ['AMOUNT_NULL', 'DATE_INVALID']) as named, len(codes) as codes, count(*) as rows from c group by 1, 2", base=False)
+def rejections_that_overlap(spark, d):
+    """Rows whose codes meet a list, by how many they have."""
+    some = F.array(F.lit("AMOUNT_NULL"), F.lit("DATE_INVALID"))
+    return silver.rejected(annotated(spark, d)).groupBy(F.arrays_overlap("rejection_codes", some).alias("named"), F.cardinality("rejection_codes").cast("bigint").alias("codes")).agg(F.count("*").alias("rows"))
+
+
 @_q(f"with {RAW} select place as municipality_status, case when place = 'UNKNOWN' then 'UNKNOWN_MUNICIPALITY' else '' end as warnings, count(*) as rows, count(distinct case when place = 'KNOWN' then municipality_raw end) as places from pl group by 1, 2", base=False)
 def warnings_by_place(spark, d):
     """Places of a catalog, and warnings for those it lacks."""

@@ -27,26 +27,43 @@ def hadoop(spark: SparkSession, path: str):
 _OWN: list[str] = []
 
 
-def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which driver and executors share; deleted when the JVM ends.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` of the session names it.
 
-    Only a local session without that setting gets a folder of this process.
+    Only a local session without that setting (a test) gets a folder of this
+    process, which is removed when the process ends. On a cluster the setting
+    must be there: executors could not read such a folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        if not _OWN:
-            _OWN.append(tempfile.mkdtemp(prefix="almagest-"))
-            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
-        base = f"file://{_OWN[0]}"
-    path = f"{base.rstrip('/')}/almagest/{tag}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="almagest-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return f"file://{_OWN[0]}"
+
+
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A new folder under ``shared_dir``, deleted when the JVM ends."""
+    path = f"{shared_dir(spark)}/almagest/{tag}-{uuid.uuid4().hex}"
     p, fs = hadoop(spark, path)
     fs.mkdirs(p)
     fs.deleteOnExit(p)
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table out if it is read in fewer splits than there are cores.
+
+    A file of one row group is one task, however many cores wait. Tables of
+    any size worth a cluster have more splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text; None if it is not there."""
     p, fs = hadoop(spark, path)
@@ -234,3 +251,13 @@ def ddl(name: str, schema: StructType, partitions: list[str], location: str) ->
     cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in partitions)
     parts = ", ".join(f"`{p}` string" for p in partitions)
     return f"CREATE EXTERNAL TABLE `{name}` (\n  {cols}\n)" + (f"\nPARTITIONED BY ({parts})" if parts else "") + f"\nSTORED AS PARQUET\nLOCATION '{location}'"
+
+
+def digest_sql(relation: str, columns: list[str]) -> str:
+    """The statement that gives ``multiset_digest`` of a relation where only SQL is at hand."""
+    cells = ", ".join(f"coalesce(concat('V', octet_length(cast(`{c}` as string)), ':', cast(`{c}` as string), ';'), 'N;')" for c in columns)
+    level = lambda source, n: f"select substring(b, 1, {n}) as b, sum(n) as n, sha2(array_join(transform(array_sort(collect_list(struct(b, d))), x -> concat(x.b, x.d)), ''), 256) as d from {source} group by substring(b, 1, {n})"
+    return f"""with hashed as (select sha2(concat({cells}), 256) as h, count(*) as n from {relation} group by 1),
+rows as (select substring(h, 1, 6) as b, n, concat(h, 'x', n, ';') as d from hashed),
+six as ({level('rows', 6)}), three as ({level('six', 3)})
+select coalesce(sum(n), 0) as rows, sha2(array_join(transform(array_sort(collect_list(struct(b, d))), x -> concat(x.b, x.d)), ''), 256) as digest from three"""

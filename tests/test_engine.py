@@ -159,6 +159,13 @@ def test_digest_counts_equal_rows(spark):
     assert one.digest != digest.multiset_digest(a.limit(49_999), ["k"]).first().digest
 
 
+def test_digest_in_sql(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "é;N;")], "k int, v string")
+    df.createOrReplaceTempView("digested")
+    assert spark.sql(store.digest_sql("digested", ["k", "v"])).first() == digest.multiset_digest(df, ["k", "v"]).first()
+    assert spark.sql(store.digest_sql("(select * from digested where false)", ["k", "v"])).first() == digest.multiset_digest(df.limit(0), ["k", "v"]).first()
+
+
 def test_unknown_place_is_not_the_unknown_member(spark):
     from almagest.operators import star
 
