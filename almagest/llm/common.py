@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import functools
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,25 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    Only a local session without ``spark.checkpoint.dir`` (a test) gets a
-    folder of this process, which is removed when the process ends. On a
-    cluster the setting must be there: executors could not read such a folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="almagest-checkpoint-"))
-        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
-    return f"file://{_OWN[0]}"
+from almagest.sources.store import hadoop, shared_dir, spread  # noqa: F401
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -55,18 +34,13 @@ def materialize(df: DataFrame, tag: str, **options: str) -> DataFrame:
     return out
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 #: Scratch folders of this process, in the order in which they were written.
 _MADE: list[str] = []
 
 
 def forget_at_end(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder when the JVM ends."""
-    p, fs = _hadoop(spark, path)
+    p, fs = hadoop(spark, path)
     fs.deleteOnExit(p)
     _MADE.append(path)
 
@@ -82,7 +56,7 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
         kept = {df._scratch for df in keep}
         for path in _MADE[start:]:
             if path not in kept:
-                p, fs = _hadoop(spark, path)
+                p, fs = hadoop(spark, path)
                 fs.delete(p, True)
         _MADE[start:] = [path for path in _MADE[start:] if path in kept]
 
@@ -91,7 +65,7 @@ def discard(df: DataFrame) -> None:
     """Delete the files behind a materialized frame that has no more readers."""
     path = getattr(df, "_scratch", None)
     if path:
-        p, fs = _hadoop(df.sparkSession, path)
+        p, fs = hadoop(df.sparkSession, path)
         fs.delete(p, True)
 
 
@@ -163,9 +137,3 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     while any(f"_al_{n}{end}" in taken for n in names):
         end += "_"
     return [f"_al_{n}{end}" for n in names]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table out if it is read in fewer splits than there are cores; larger ones are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

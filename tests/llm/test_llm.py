@@ -670,7 +670,7 @@ def test_run_leaves_its_result_only(spark, tmp_path):
 
     start = len(common._MADE)
     out = corpus_pipeline.run(spark, SF)
-    assert [p for p in common._MADE[start:] if common._hadoop(spark, p)[1].exists(common._hadoop(spark, p)[0])] == [out._scratch]
+    assert [p for p in common._MADE[start:] if common.hadoop(spark, p)[1].exists(common.hadoop(spark, p)[0])] == [out._scratch]
     assert out.count() > 0
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         common.shared_dir(type("S", (), {"conf": type("C", (), {"get": staticmethod(lambda *a: None)}), "sparkContext": type("X", (), {"master": "spark://h:7077"})}))
