@@ -28,7 +28,7 @@ from .common import held, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 120_000, 400_000, 64
+CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 90_000, 40_000, 150_000, 64
 
 
 def load_model(path: str) -> dict:
