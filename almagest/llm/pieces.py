@@ -28,7 +28,7 @@ from .common import held, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 90_000, 40_000, 150_000, 64
+CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 60_000, 30_000, 100_000, 64
 
 
 def load_model(path: str) -> dict:
@@ -314,7 +314,7 @@ def _utf8(data: bytes) -> str:
 
 
 #: Rows and bytes up to which Arrow batches are coded together: the more rows, the fewer distinct words a row.
-TOGETHER_ROWS, TOGETHER_BYTES = 2000, 4 << 20
+TOGETHER_ROWS, TOGETHER_BYTES = 1000, 2 << 20
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -177,15 +177,14 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFram
     """The rows of ``docs``, all columns, whose score is under ``threshold``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def toxic(text):
+    @F.arrow_udf("double")  # without pandas, which a worker would keep for all later stages
+    def toxic(text: pa.Array) -> pa.Array:
         import numpy as np
-        import pandas as pd
 
         held("toxicity")
         m = shared.value
-        x = np.array([features(t or "", m["lex"]) for t in text], dtype=float).reshape(len(text), len(FEATURES))
+        x = np.array([features(t.as_py() or "", m["lex"]) for t in text], dtype=float).reshape(len(text), len(FEATURES))
         give_back()
-        return pd.Series(boosting.calibrated(m["knots"], boosting.raw_scores(m["trees"], x)))
+        return pa.array(boosting.calibrated(m["knots"], boosting.raw_scores(m["trees"], x)), pa.float64())
 
     return docs.where(toxic(F.col("text").cast("string")) < threshold)
