@@ -165,6 +165,35 @@ def test_components_of_a_hub(spark, monkeypatch):
     assert sorted(map(tuple, components.components(edges).collect())) == want and len(want) == 421
 
 
+def test_components_are_light_on_the_driver(spark, monkeypatch):
+    """A long chain is settled in two tables, and no join in its rounds is a broadcast."""
+    wrote = []
+
+    def spy(df, tag):
+        wrote.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, tag)
+
+    materialize = components.materialize
+    monkeypatch.setattr(components, "materialize", spy)
+    chain = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r.root for r in components.components(chain).collect()} == {0}
+    assert len(wrote) == 2 and "SortMergeJoin" in wrote[1] and not any("BroadcastHashJoin" in p for p in wrote)
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_components_contracted_by_parts(spark, monkeypatch, at_once):
+    monkeypatch.setattr(components, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    pairs = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)]
+    root = {n: n for p in pairs if p[0] != p[1] for n in p}
+    for _ in root:
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = components.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    assert sorted(map(tuple, got)) == sorted(root.items())
+
+
 def test_components_of_a_chain(spark):
     got = components.components(spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))).collect()
     assert {r.node for r in got} == set(range(41)) and {r.root for r in got} == {0}
