@@ -28,7 +28,9 @@ from .common import held, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 60_000, 30_000, 100_000, 64
+#: The score of two parts that make no piece.
+NEVER = float("-inf")
+CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 30_000, 100_000, 64
 
 
 def load_model(path: str) -> dict:
@@ -64,6 +66,7 @@ class PieceCoder:
         self.known = {p for p in self.ids if len(p) == 1}
         self.surface = [p.replace(MARK, " ") if k == NORMAL else None for p, _, k in pieces]
         self.chunks, self.parts = self._cuts()
+        self.states: dict[str, list[tuple[float, str, str]]] = {}  # of pieces that were asked for
         self.search = ahocorasick.Automaton()
         whole = {p for p in self.ids if self.merge(p) == [p]}
         for p in whole:
@@ -112,26 +115,56 @@ class PieceCoder:
         coarse = re.compile(rf"{feed}{MARK}+[^{MARK}{n}]*|[^{MARK}{n}]+").findall
         return coarse, re.compile(rf"{marks}{feed}{MARK}*[^{MARK}{p}{n}]+|{MARK}+").findall if p else None
 
-    def merge(self, s: str) -> list[str]:
-        """Merge a short string from its characters: best score, then leftmost, first."""
-        parts, score = list(s), self.score
-        while len(parts) > 1:
-            best = at = None
-            for i in range(len(parts) - 1):
-                v = score.get(parts[i] + parts[i + 1])
-                if v is not None and (best is None or v > best):
-                    best, at = v, i
-            if at is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def merge(self, s: str, states: list | None = None) -> list[str]:
+        """Merge a short string from its characters: best score, then leftmost, first.
+
+        ``states`` gets the score, and the first and the last part before it, of each merge.
+        """
+        parts, score = list(s), self.score.get
+        scores = [score(x + y, NEVER) for x, y in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > NEVER:
+            if states is not None:
+                states.append((best, parts[0], parts[-1]))
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], NEVER)
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], NEVER)
         return parts
 
+    def _states(self, piece: str) -> list[tuple[float, str, str]]:
+        """How a piece merges from its characters; the last state is the piece itself."""
+        out: list[tuple[float, str, str]] = []
+        self.merge(piece, out)
+        out.append((NEVER, piece, piece))
+        self.states[piece] = out
+        return out
+
     def fits(self, a: str, b: str) -> bool:
+        """Whether two pieces, joined and merged again, fall into the same two.
+
+        Each merges as it does alone until a merge over the border between them is
+        the best, or as good and further left; then they don't.
+        """
         got = self.pairs.get((a, b))
         if got is None:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            got = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            left, right = self.states.get(a) or self._states(a), self.states.get(b) or self._states(b)
+            score, i, j = self.score.get, 0, 0
+            (x, _, last), (y, first, _) = left[0], right[0]
+            while not (over := score(last + first, NEVER)) > x or over < y:
+                if x == y == NEVER:
+                    break
+                if x >= y:
+                    i += 1
+                    x, _, last = left[i]
+                else:
+                    j += 1
+                    y, first, _ = right[j]
+            got = self.pairs[a, b] = over == NEVER and x == y == NEVER
         return got
 
     def _longest(self, s: str, pos: int) -> str:

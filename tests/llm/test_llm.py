@@ -69,6 +69,19 @@ def test_decode_any_ids(coder, library):
         assert coder.decode(ids) == library.decode(ids)
 
 
+def test_pairs_are_judged_without_merging_again(coder, monkeypatch):
+    rng, names = random.Random(3), sorted(coder.shorter)
+    pairs = [(rng.choice(names), rng.choice(names)) for _ in range(400)]
+    pairs += [(p[:k], p[k:]) for p in rng.sample(names, 400) for k in range(1, len(p)) if p[:k] in coder.shorter and p[k:] in coder.shorter]
+    want = [coder.merge(a + b) == [a, b] for a, b in pairs]
+    assert {*want} == {True, False}
+    merged, merge = [], coder.merge
+    monkeypatch.setattr(coder, "merge", lambda s, *more: merged.append(s) or merge(s, *more))
+    coder.pairs.clear()
+    assert [coder.fits(a, b) for a, b in pairs] == want
+    assert {*merged} <= {x for pair in pairs for x in pair}
+
+
 def test_pieces_rows(spark, library):
     out = {r.doc_id: r for r in pieces.encode_texts(docs(spark, [None, "", "héllo  wörld"], True), Q.piece_model(), ids=True).collect()}
     empty = hashlib.sha256(b"").hexdigest()
