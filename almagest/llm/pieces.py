@@ -10,7 +10,8 @@ fits, remembering positions that cannot be completed in a bit field.
 Two characters that stand side by side in no piece are never merged, so a text
 may be cut between them. The cuts are taken from the vocabulary: before a space
 mark, around line feeds, and between other characters and the punctuation that
-no piece joins to them. Chunks are kept in a bounded cache of two generations.
+no piece joins to them. Chunks are kept in a bounded cache of two generations,
+and so is, for a piece and the longest piece after it, which one fits there.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: The score of two parts that make no piece.
 NEVER = float("-inf")
-CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 120_000, 30_000, 100_000, 64
+CACHE_WORDS, CACHE_CHUNKS, CACHE_PAIRS, CACHED_CHARS = 180_000, 30_000, 150_000, 64
 
 
 def load_model(path: str) -> dict:
@@ -48,6 +49,12 @@ def load_model(path: str) -> dict:
     return {"pieces": [(p.piece, p.score, p.type) for p in m.pieces], "prefix": n.add_dummy_prefix, "unk_surface": m.trainer_spec.unk_surface, "byte_fallback": m.trainer_spec.byte_fallback}
 
 
+class Changed(str):
+    """The ids of a chunk whose surface is not the chunk."""
+
+    back: str
+
+
 class PieceCoder:
     """Encoder and decoder of one model; one per Python worker."""
 
@@ -70,22 +77,17 @@ class PieceCoder:
         self.search = ahocorasick.Automaton()
         whole = {p for p in self.ids if self.merge(p) == [p]}
         for p in whole:
-            self.search.add_word(p, len(p))
+            self.search.add_word(p, self.ids[p])
         self.search.make_automaton()
-        self.span = max(map(len, whole), default=1)
-        self.best: dict[str, str] = {}  # of each beginning of a piece, the longest piece it holds at its start
-        for p in sorted(whole, key=len):
-            self.best[p] = p
-        for p in sorted(whole, key=len):
-            for k in range(1, len(p)):
-                if p[:k] not in self.best:
-                    self.best[p[:k]] = self.best.get(p[: k - 1], p[:k])
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in whole), None) for p in whole}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.young: dict[str, tuple[str, str]] = {}
-        self.old: dict[str, tuple[str, str]] = {}
-        self.words: dict[str, tuple[str, str]] = {}
-        self.old_words: dict[str, tuple[str, str]] = {}
+        self.next = {self.ids[p]: -1 if q is None else self.ids[q] for p, q in self.shorter.items()}
+        self.sizes, self.digits = [len(p) for p in self.names], [str(i) for i in range(len(pieces))]
+        self.pairs: dict[int, int] = {}
+        self.old_pairs: dict[int, int] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
+        self.words: dict[str, str] = {}
+        self.old_words: dict[str, str] = {}
 
     def _cuts(self):
         """Functions that cut a normal text, and a chunk further, where no piece can span."""
@@ -148,75 +150,71 @@ class PieceCoder:
         Each merges as it does alone until a merge over the border between them is
         the best, or as good and further left; then they don't.
         """
-        got = self.pairs.get((a, b))
+        left, right = self.states.get(a) or self._states(a), self.states.get(b) or self._states(b)
+        score, i, j = self.score.get, 0, 0
+        (x, _, last), (y, first, _) = left[0], right[0]
+        while not (over := score(last + first, NEVER)) > x or over < y:
+            if x == y == NEVER:
+                break
+            if x >= y:
+                i += 1
+                x, _, last = left[i]
+            else:
+                j += 1
+                y, first, _ = right[j]
+        return over == NEVER and x == y == NEVER
+
+    def _step(self, last: int, piece: int) -> int:
+        """The longest that fits after ``last``, of a piece and the shorter ones it begins with; -1 if none does."""
+        if last < 0 or piece < 0:
+            return piece
+        key = last << 32 | piece
+        got = self.old_pairs.get(key)
         if got is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            left, right = self.states.get(a) or self._states(a), self.states.get(b) or self._states(b)
-            score, i, j = self.score.get, 0, 0
-            (x, _, last), (y, first, _) = left[0], right[0]
-            while not (over := score(last + first, NEVER)) > x or over < y:
-                if x == y == NEVER:
-                    break
-                if x >= y:
-                    i += 1
-                    x, _, last = left[i]
-                else:
-                    j += 1
-                    y, first, _ = right[j]
-            got = self.pairs[a, b] = over == NEVER and x == y == NEVER
+            a, names, got = self.names[last], self.names, piece
+            while got >= 0 and not self.fits(a, names[got]):
+                got = self.next[got]
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.old_pairs, self.pairs = self.pairs, {}
+        self.pairs[key] = got
         return got
 
-    def _longest(self, s: str, pos: int) -> str:
-        """The longest piece that starts at a position, by the automaton's trie."""
-        rest = s[pos : pos + self.span]
-        return self.best[rest[: self.search.longest_prefix(rest)]]
-
-    def _walk(self, s: str) -> list[str]:
+    def _walk(self, s: str) -> list[int]:
         """The pieces of a stretch of known characters."""
-        n, out, pos, last = len(s), [], 0, ""
+        out: list[int] = []
+        pos, last, sizes, step, search = 0, -1, self.sizes, self._step, self.search.iter_long
         failed: bytearray | None = None  # bits of positions that cannot be completed
-        pairs, fits, longest = self.pairs, self.fits, self._longest
-        for end, size in self.search.iter_long(s):  # the longest matches one after another, while they fit
-            piece = s[pos : pos + size]
-            ok = pairs.get((last, piece)) if last else True
-            if ok is None:
-                ok = fits(last, piece)
-            if not ok:
-                break
-            out.append(piece)
-            pos, last = end + 1, piece
-        else:
-            return out
         while True:
-            end = pos + len(piece)
-            if failed is None or not failed[end >> 3] >> (end & 7) & 1:
-                ok = pairs.get((last, piece)) if last else True
-                if ok is None:
-                    ok = fits(last, piece)
-                if ok:
-                    out.append(piece)
-                    if end == n:
-                        return out
-                    pos, last = end, piece
-                    piece = longest(s, pos)
-                    continue
-            piece = self.shorter[piece]
-            while piece is None:
-                if failed is None:
-                    failed = bytearray(n // 8 + 1)
-                failed[pos >> 3] |= 1 << (pos & 7)
-                if not out:
-                    raise ValueError("no encoding")
-                piece = out.pop()
-                pos -= len(piece)
-                last = out[-1] if out else ""
-                piece = self.shorter[piece]
+            pairs = self.pairs.get
+            for end, piece in search(s, pos):  # the longest pieces one after another, while they fit
+                fit = pairs(last << 32 | piece)
+                if fit is None:
+                    fit = step(last, piece)
+                if fit != piece or failed is not None and failed[end + 1 >> 3] >> (end + 1 & 7) & 1:
+                    pos = end + 1 - sizes[piece]
+                    break
+                out.append(piece)
+                last = piece
+            else:
+                return out
+            while fit < 0 or failed is not None and failed[pos + sizes[fit] >> 3] >> (pos + sizes[fit] & 7) & 1:
+                if fit < 0:
+                    if failed is None:
+                        failed = bytearray(len(s) // 8 + 1)
+                    failed[pos >> 3] |= 1 << (pos & 7)
+                    if not out:
+                        raise ValueError("no encoding")
+                    fit = out.pop()
+                    pos -= sizes[fit]
+                    last = out[-1] if out else -1
+                fit = step(last, self.next[fit])
+            out.append(fit)
+            pos += sizes[fit]
+            last = fit
 
     def _chunk(self, s: str) -> list[int]:
         if self.known.issuperset(s):
-            ids = self.ids
-            return [ids[p] for p in self._walk(s)]
+            return self._walk(s)
         out: list[int] = []
         i, n, known = 0, len(s), self.known
         while i < n:
@@ -224,7 +222,7 @@ class PieceCoder:
             while j < n and s[j] in known:
                 j += 1
             if j > i:
-                out += [self.ids[p] for p in self._walk(s[i:j])]
+                out += self._walk(s[i:j])
             if j < n:
                 if self.byte_fallback:
                     out += [self.byte_id[b] for b in s[j].encode()]
@@ -234,26 +232,32 @@ class PieceCoder:
             i = j
         return out
 
-    def _coded(self, chunk: str, keep: bool = True) -> tuple[str, str]:
-        """A chunk's ids, joined by commas, and their surface; kept for the next time."""
-        got = self.old.get(chunk)
-        if got is None:
-            parts = () if self.apart.isdisjoint(chunk) else self.parts(chunk)
-            if len(parts) > 1:
-                coded = [self.young.get(p) or self._coded(p) for p in parts]
-                got = (",".join([c[0] for c in coded]), "".join([c[1] for c in coded]))
-            else:
-                ids = self._chunk(chunk)
-                got = (",".join(map(str, ids)), self._text(ids))
-        if keep and len(chunk) <= CACHED_CHARS:
+    def _code(self, chunk: str) -> str:
+        """A chunk's ids, joined by commas; with their surface if that is not the chunk with spaces for its marks."""
+        if not self.apart.isdisjoint(chunk) and len(parts := self.parts(chunk)) > 1:
+            coded = [self.words.get(p[1:]) or self._word(p[1:]) if p[0] == MARK else self.young.get(p) or self._coded(p) for p in parts]
+            got = ",".join(coded)
+            back = None if {*map(type, coded)} == {str} else "".join(map(_surface, parts, coded))
+        else:
+            ids, digits = self._chunk(chunk), self.digits
+            got, back = ",".join([digits[i] for i in ids]), self._text(ids)
+        if back is not None and back != chunk.replace(MARK, " "):
+            got = Changed(got)
+            got.back = back
+        return got
+
+    def _coded(self, chunk: str) -> str:
+        """``_code`` of a chunk, kept for the next time."""
+        got = self.old.get(chunk) or self._code(chunk)
+        if len(chunk) <= CACHED_CHARS:
             if len(self.young) >= CACHE_CHUNKS:
                 self.old, self.young = self.young, {}
             self.young[chunk] = got
         return got
 
-    def _word(self, word: str) -> tuple[str, str]:
+    def _word(self, word: str) -> str:
         """The code of a word with a space mark before it."""
-        got = self.old_words.get(word) or self._coded(MARK + word, keep=False)
+        got = self.old_words.get(word) or self._code(MARK + word)
         if len(word) <= CACHED_CHARS:
             if len(self.words) >= CACHE_WORDS:
                 self.old_words, self.words = self.words, {}
@@ -270,10 +274,14 @@ class PieceCoder:
             coded = lists.flatten().dictionary_encode()
             words, new = self.words, self._word
             codes = [words.get(w) or new(w) for w in coded.dictionary.to_pylist()]
-            ids, back = (pc.binary_join(pa.ListArray.from_arrays(lists.offsets, pa.array([c[k] for c in codes], pa.string()).take(coded.indices)), sep) for k, sep in ((0, ","), (1, "")))
+            joined = lambda parts, sep: pc.binary_join(pa.ListArray.from_arrays(lists.offsets, pa.array(parts, pa.string()).take(coded.indices)), sep)
+            ids, back = joined(codes, ","), texts.filter(plain)
+            if {*map(type, codes)} != {str}:
+                marked = [MARK + w for w in coded.dictionary.to_pylist()]
+                back = pc.utf8_slice_codeunits(joined(list(map(_surface, marked, codes)), ""), 1)  # without the space of the dummy prefix
             found = zip(pc.add(pc.count_substring(ids, ","), 1).to_pylist(), ids.cast(pa.binary()).to_pylist(), back.cast(pa.binary()).to_pylist(), strict=True)
-            for i, (n, a, b) in zip(pc.indices_nonzero(plain).to_pylist(), found, strict=True):
-                out[i] = (n, a, b[1:])  # without the space of the dummy prefix
+            for i, row in zip(pc.indices_nonzero(plain).to_pylist(), found, strict=True):
+                out[i] = row
         for i, done in enumerate(out):
             if done is None:
                 n, a, b = self.encode_row(texts[i].as_py())
@@ -288,10 +296,10 @@ class PieceCoder:
     def encode_row(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids as text joined by commas, and the decoded text."""
         young, new = self.young, self._coded
-        got = list(map(young.get, chunks := self.chunks(self._normal(text))))
-        coded = got if None not in got else [g or new(c) for g, c in zip(got, chunks, strict=True)]
-        ids = ",".join([c[0] for c in coded])
-        back = "".join([c[1] for c in coded])
+        chunks = self.chunks(self._normal(text))
+        coded = [young.get(c) or new(c) for c in chunks]
+        ids = ",".join(coded)
+        back = "".join(map(_surface, chunks, coded))
         if self.prefix and back.startswith(" "):
             back = back[1:]
         return ids.count(",") + 1 if ids else 0, ids, back
@@ -327,6 +335,11 @@ class PieceCoder:
         return back[1:] if self.prefix and first is not None and self.kinds[first] == NORMAL and self.names[first].startswith(MARK) else back
 
 
+def _surface(chunk: str, code: str) -> str:
+    """What the ids of a chunk decode to."""
+    return code.back if type(code) is Changed else chunk.replace(MARK, " ")
+
+
 def _utf8(data: bytes) -> str:
     try:
         return data.decode()

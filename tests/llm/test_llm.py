@@ -82,6 +82,38 @@ def test_pairs_are_judged_without_merging_again(coder, monkeypatch):
     assert {*merged} <= {x for pair in pairs for x in pair}
 
 
+def test_kept_words_are_their_ids_alone(coder, library):
+    """Of a known word only the ids are kept, and words with signs behind share what is kept of the bare word."""
+    import pyarrow as pa
+
+    texts = ["sharedword. sharedword, new\nsharedword!", "sharedword", "你好 odd 😀x \u0378. known", "ﬁ \u0378\u0378"]
+    done = coder.encode_batch(pa.array(texts))
+    assert [(ids.decode(), back.decode()) for _, ids, back in done] == [(",".join(map(str, i)), library.decode(i)) for i in map(library.encode, texts)]
+    assert coder.words["sharedword"] == ",".join(map(str, library.encode("sharedword"))) == coder.words["sharedword."].rpartition(",")[0]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_small_models_equal_merging(monkeypatch, seed):
+    """Stretches that need many steps back, with caches that overflow all the time."""
+    for name in ("CACHE_WORDS", "CACHE_CHUNKS", "CACHE_PAIRS"):
+        monkeypatch.setattr(pieces, name, 5)
+    rng = random.Random(seed)
+    names = ["a", "b", "c", "▁"]
+    while len(names) < 60:
+        p = rng.choice(names) + rng.choice(names)
+        if len(p) <= 9 and "▁" not in p[1:] and p not in names:
+            names.append(p)
+    model = {"pieces": [("<unk>", 0.0, pieces.UNKNOWN), *((p, -float(i), pieces.NORMAL) for i, p in enumerate(names))], "prefix": True, "unk_surface": " ? ", "byte_fallback": False}
+    coder, back = pieces.PieceCoder(model), 0
+    for _ in range(300):
+        text = "".join(rng.choice("abc" * 6 + " ") for _ in range(rng.randint(1, 80)))
+        got = coder.encode(text)
+        assert [coder.names[i] for i in got] == coder.merge("▁" + text.replace(" ", "▁"))
+        assert coder.decode(got) == text
+        back += any(v < 0 for v in [*coder.pairs.values(), *coder.old_pairs.values()])
+    assert back
+
+
 def test_pieces_rows(spark, library):
     out = {r.doc_id: r for r in pieces.encode_texts(docs(spark, [None, "", "héllo  wörld"], True), Q.piece_model(), ids=True).collect()}
     empty = hashlib.sha256(b"").hexdigest()
