@@ -239,6 +239,24 @@ def test_components_contracted_by_parts(spark, monkeypatch, at_once):
     assert sorted(map(tuple, got)) == sorted(root.items())
 
 
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """Up to ``alone`` links are settled by one task, as near duplicates ask for; one more takes rounds with the same result."""
+    rng = random.Random(3)
+    edges = spark.createDataFrame([(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)], "a bigint, b bigint").repartition(9).persist()
+    want = sorted(map(tuple, components.components(edges).collect()))
+    rounds, large = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda *args: rounds.append(args[1]) or large(*args))
+    assert sorted(map(tuple, components.components(edges, alone=250_000).collect())) == want and not rounds
+    assert sorted(map(tuple, components.components(edges, alone=1).collect())) == want and rounds
+    texts = edges.where("a <> b").select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
+    rounds.clear()
+    assert len(components.components(texts, alone=250_000).collect()) == len(want) and rounds
+    rounds.clear()
+    words = [f"w{i}" for i in range(60)]
+    out = simhash.near_duplicates(docs(spark, [" ".join(words), " ".join([*words, "end"]), "other text of its own"], True)).collect()
+    assert len({r.component_id for r in out}) == 2 and not rounds
+
+
 def test_components_of_a_chain(spark):
     got = components.components(spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))).collect()
     assert {r.node for r in got} == set(range(41)) and {r.root for r in got} == {0}
